@@ -58,7 +58,8 @@ def _columns(model: Model, grain: str, *measures: str) -> Query:
 
 
 def ordered_floor(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.floor_by_hour(session_events(spark, sf)).orderBy(HOUR_BUCKET)
+    rolled = rollups.floor_by_hour(session_events(spark, sf))
+    return rollups.in_order(rolled, FLOOR, "hour")
 
 
 # --- Events ------------------------------------------------------------------

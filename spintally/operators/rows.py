@@ -7,6 +7,8 @@ folds the rows of one session in one bucket into one. Both kinds group alike.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +53,15 @@ def event_rows(
     )
 
 
-def compact(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per bucket and combination of dimensions.
+def compact(
+    rows: DataFrame, by: tuple[str, ...] = (), dimensions: Iterable[str] = tuple(DIMENSIONS)
+) -> DataFrame:
+    """One row per bucket and combination of the dimensions.
 
-    Plays of one session on one machine in one hour become a single row, and no
-    distinct count changes, because every dimension is kept.
+    Plays of one session on one machine in one hour become a single row. Distinct
+    counts over the kept dimensions do not change.
     """
-    return rows.groupBy(BUCKET, *by, *DIMENSIONS, PLAYER_TYPE).agg(*fold_parts())
+    return rows.groupBy(BUCKET, *by, *dimensions, PLAYER_TYPE).agg(*fold_parts())
 
 
 def to_days(hour_rows: DataFrame) -> DataFrame:

@@ -20,11 +20,11 @@ from contextlib import nullcontext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spintally.functions.buckets import UTC, format_label, parse_label
+from spintally.functions.buckets import UTC, bucket_label, format_label, parse_label
 from spintally.operators.rows import BUCKET, compact, event_rows, to_days
-from spintally.operators.slices import high_watermark, since_slice, tenant_watermarks
+from spintally.operators.slices import since_slice
 from spintally.plans.rollups import MODELS, roll_rows
-from spintally.plans.targets import Target
+from spintally.plans.targets import DAY_FOLDER, Target
 from spintally.schema import FLOOR_TABLE
 from spintally.sources.scratch import shared_folder, written_once
 from spintally.sources.sessions import is_path
@@ -43,34 +43,27 @@ def whole(events: Events) -> DataFrame:
     return events if isinstance(events, DataFrame) else union_tenants(events)
 
 
-def start_bucket(target: Target, newest: str | None, lookback: int = 0) -> str | None:
-    """First bucket to work out again, given the newest stored one.
-
-    With day folders a refresh must start where a folder starts, or the swap
-    would drop the earlier hours of that day.
-    """
-    if newest is None:
-        return None
-    start = format_label(parse_label(newest, target.grain, back=lookback), target.grain)
-    return f"{start[:10]} 00:00:00" if target.day_folders else start
-
-
 def find_starts(
     events: Events, target: Target, lookback: int = 0, since: str | None = None
 ) -> Starts:
-    """Where each tenant's refresh has to start; ``since`` overrides what is stored."""
+    """First bucket to work out again, ``lookback`` buckets before the newest stored one.
+
+    ``since`` stands in for the newest stored bucket.
+    """
     names = [None] if isinstance(events, DataFrame) else list(events)
-    if names != [None] and TENANT not in target.by:
-        raise ValueError(f"a target of many tenants needs {TENANT!r} among its leading keys")
-    if since is not None:
-        newest = dict.fromkeys(names, since)
+    if (names == [None]) == (TENANT in target.by):
+        raise ValueError(f"events by tenant and a target keyed by {TENANT!r} go together")
+    if since is None:
+        newest = target.newest(whole(events).sparkSession)
     else:
-        stored = target.read(whole(events).sparkSession)
-        if names == [None]:
-            newest = {None: high_watermark(stored, target.bucket)}
-        else:
-            newest = tenant_watermarks(stored, target.bucket, TENANT)
-    return {name: start_bucket(target, newest.get(name), lookback) for name in names}
+        newest = dict.fromkeys(names, since)
+    grain = target.grain
+    return {
+        name: format_label(parse_label(newest[name], grain, back=lookback), grain)
+        if name in newest
+        else None
+        for name in names
+    }
 
 
 def _slice(events: Events, starts: Starts, grain: str, tz: str) -> DataFrame:
@@ -82,9 +75,24 @@ def _slice(events: Events, starts: Starts, grain: str, tz: str) -> DataFrame:
 def rebuild(
     events: Events, target: Target, *, tz: str = UTC, null_safe_totals: bool = True
 ) -> None:
-    """Replace the target with a rollup of all events."""
+    """Replace the target with a rollup of all events.
+
+    Given some of the stored tenants only, it replaces their buckets and leaves
+    the other tenants' rows as they are.
+    """
     rows = event_rows(whole(events), target.grain, tz, target.by)
-    target.replace(roll_rows(rows, target.model, target.grain, target.by, null_safe_totals))
+    rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
+    _replace(rolled, target, events)
+
+
+def _replace(rolled: DataFrame, target: Target, events: Events) -> None:
+    stored = None if isinstance(events, DataFrame) else target.stored(rolled.sparkSession)
+    if stored is not None:
+        kept = stored.select(TENANT).distinct().filter(~F.col(TENANT).isin(list(events)))
+        if not kept.isEmpty():
+            target.upsert(rolled)
+            return
+    target.replace(rolled)
 
 
 def refresh(
@@ -103,10 +111,45 @@ def refresh(
     """
     starts = find_starts(events, target, lookback, since)
     rows = event_rows(_slice(events, starts, target.grain, tz), target.grain, tz, target.by)
-    target.upsert(roll_rows(rows, target.model, target.grain, target.by, null_safe_totals))
+    rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
+    target.upsert(with_other_hours(rolled, rows, target, starts))
     return starts
 
 
+def _per_tenant(values: Mapping[str | None, str | int]) -> Column:
+    """Each row's own value, looked up by its tenant; NULL where there is none."""
+    if not values or None in values:
+        return F.lit(values.get(None))
+    pairs = [F.lit(part) for item in values.items() for part in item]
+    return F.try_element_at(F.create_map(*pairs), F.col(TENANT))
+
+
+def with_other_hours(
+    rolled: DataFrame, rows: DataFrame, target: Target, starts: Starts
+) -> DataFrame:
+    """Refreshed hours, and the stored hours that share a day folder with them.
+
+    A day folder is swapped whole, so hours of that day that were not worked out
+    again are carried over as they are: those before the start, and any later
+    one whose events the source no longer has.
+    """
+    days = {name: start[:10] for name, start in starts.items() if start is not None}
+    stored = target.stored(rolled.sparkSession)
+    if not target.hours_share_folders or not days or stored is None:
+        return rolled
+    # The first comparison is the one the reader can use to skip folders.
+    touched = stored.filter(
+        (F.col(DAY_FOLDER) >= min(days.values())) & (F.col(DAY_FOLDER) >= _per_tenant(days))
+    )
+    seen = rows.filter(target.model.keep()).select(*target.by, BUCKET).distinct()
+    label = bucket_label(F.col(BUCKET), target.grain).alias(target.bucket)
+    refreshed = seen.select(*target.by, label)
+    others = touched.select(*target.columns).join(
+        refreshed, [*target.by, target.bucket], "left_anti"
+    )
+    return rolled.unionByName(others)
+
+
 def default_targets(root: str, **options) -> dict[str, Target]:
     """The six targets by rollup name, under one folder or in one database."""
     joint = "/" if is_path(root) else "."
@@ -163,18 +206,17 @@ def _earliest(starts: Collection[Starts]) -> Starts:
     Labels of both grains are full timestamps, so the least text is the earliest.
     """
     tenants = next(iter(starts))
-    return {t: None if any(s[t] is None for s in starts) else min(s[t] for s in starts) for t in tenants}
+    return {
+        tenant: None if None in labels else min(labels)
+        for tenant in tenants
+        for labels in [[own[tenant] for own in starts]]
+    }
 
 
 def _from_start(starts: Starts, grain: str) -> Column:
     """Rows at or after their own tenant's start."""
     first = {t: parse_label(label, grain) for t, label in starts.items() if label is not None}
-    if not first:
-        return F.lit(True)
-    if None in first:
-        return F.col(BUCKET) >= first[None]
-    pairs = [F.lit(part) for item in first.items() for part in item]
-    own = F.try_element_at(F.create_map(*pairs), F.col(TENANT))
+    own = _per_tenant(first)
     return own.isNull() | (F.col(BUCKET) >= own)
 
 
@@ -199,7 +241,10 @@ def _refresh_together(
             grained = hours if target.grain == "hour" else to_days(hours)
             wanted = grained.filter(_from_start(starts[name], target.grain))
             rolled = roll_rows(wanted, target.model, target.grain, by, null_safe_totals)
-            (target.replace if name in rebuilt else target.upsert)(rolled)
+            if name in rebuilt:
+                _replace(rolled, target, events)
+            else:
+                target.upsert(with_other_hours(rolled, wanted, target, starts[name]))
 
         with ThreadPoolExecutor(MODELS_AT_ONCE) as pool:
             for done in [pool.submit(bring_up_to_date, name) for name in targets]:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from spintally.functions.buckets import UTC, bucket_label
 from spintally.functions.measures import joined_themes, mean, sum_type
 from spintally.operators.grouping import distinct_count_name, group_split, group_whole
-from spintally.operators.rows import BUCKET, PLAYER_TYPE, event_rows, is_carded
+from spintally.operators.rows import BUCKET, PLAYER_TYPE, compact, event_rows, is_carded
 from spintally.operators.slices import since_slice
 from spintally.schema import (
     ALL_PLAYERS,
@@ -115,10 +115,13 @@ def roll_rows(
     grain: str,
     by: tuple[str, ...] = (),
     null_safe_totals: bool = True,
+    fold_first: bool = False,
 ) -> DataFrame:
     """Roll up rows of the given grain, be they single events or compacted ones."""
     keys = (*by, BUCKET, *model.keys)
     kept = rows.filter(model.keep())
+    if fold_first:
+        kept = compact(kept, by, dict.fromkeys((*model.keys, *model.counted)))
     if not model.split:
         return finish(
             group_whole(kept, keys, model.counted, listed=THEMES), model, grain, by, rows
@@ -140,10 +143,27 @@ def rollup(
     tz: str = UTC,
     by: tuple[str, ...] = (),
     null_safe_totals: bool = True,
+    fold_first: bool = False,
 ) -> DataFrame:
-    """Roll up raw events, all of them or from bucket ``since`` onward."""
-    sliced = since_slice(events, since, grain, tz, lookback)
-    return roll_rows(event_rows(sliced, grain, tz, by), model, grain, by, null_safe_totals)
+    """Roll up raw events, all of them or from bucket ``since`` onward.
+
+    ``fold_first`` first reduces the plays of a session in a bucket to one row.
+    That costs a shuffle and saves work on every play after it, so it pays where
+    sessions have many plays, and loses where they have one or two. ``by`` names
+    further key columns, and ``null_safe_totals=False`` leaves out the ``All`` row
+    of a group with a NULL key.
+    """
+    rows = event_rows(since_slice(events, since, grain, tz, lookback), grain, tz, by)
+    return roll_rows(rows, model, grain, by, null_safe_totals, fold_first)
+
+
+def in_order(rolled: DataFrame, model: Model, grain: str) -> DataFrame:
+    """Rows by bucket, for reading out; a stored table keeps no order.
+
+    Rows of one bucket are further ordered by key, so that a bucket with many of
+    them can be sorted by several tasks.
+    """
+    return rolled.orderBy(*model.columns(grain)[: 1 + len(model.keys)])
 
 
 player_by_hour = partial(rollup, model=PLAYER, grain="hour")

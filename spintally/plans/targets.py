@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -10,27 +11,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spintally.operators.rows import PLAYER_TYPE
+from spintally.operators.slices import high_watermark, newest_buckets, tenant_watermarks
 from spintally.plans.rollups import Model, rollup
 from spintally.schema import bucket_column, session_schema
 from spintally.sources.sessions import is_path
+from spintally.sources.tenants import TENANT
 
 DAY_FOLDER = "bucket_day"
 
 
+@cache
+def rollup_schema(
+    spark: SparkSession, model: Model, grain: str, by: tuple[str, ...], money: T.DataType
+) -> T.StructType:
+    """Output schema for raw events with this money type."""
+    extra = [T.StructField(name, T.StringType()) for name in by]
+    none = spark.createDataFrame([], T.StructType([*session_schema(money), *extra]))
+    return rollup(none, model, grain, by=by).schema
+
+
 @dataclass(frozen=True)
 class Target:
     """Where one rollup is kept, and how its rows are laid out.
 
-    ``by`` holds leading key columns such as the tenant. ``day_folders`` keeps an
-    hourly rollup in one partition per day, for fewer and larger files; a refresh
-    then rewrites the newest day instead of the newest hour.
+    ``by`` holds leading key columns such as the tenant. Hourly rollups are kept
+    in one partition per day, since a folder per hour makes thousands of small
+    files that every read has to list; ``day_folders=False`` gives hours their own.
     """
 
     location: str
     model: Model
     grain: str
     by: tuple[str, ...] = ()
-    day_folders: bool = False
+    day_folders: bool = True
     money: T.DataType = T.LongType()
 
     @property
@@ -41,23 +54,51 @@ class Target:
     def columns(self) -> tuple[str, ...]:
         return self.model.columns(self.grain, self.by)
 
+    @property
+    def hours_share_folders(self) -> bool:
+        return self.day_folders and self.grain == "hour"
+
     @property
     def partitions(self) -> tuple[str, ...]:
-        return (*self.by, DAY_FOLDER if self.day_folders else self.bucket)
+        return (*self.by, DAY_FOLDER if self.hours_share_folders else self.bucket)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """The stored rows in contract order, None if nothing was ever stored."""
+        stored = self.stored(spark)
+        return None if stored is None else stored.select(*self.columns)
+
+    def stored(self, spark: SparkSession) -> DataFrame | None:
+        """The stored rows with their partition columns."""
         if not is_path(self.location):
-            if not spark.catalog.tableExists(self.location):
-                return None
-            return spark.read.table(self.location).select(*self.columns)
+            known = spark.catalog.tableExists(self.location)
+            return spark.read.table(self.location) if known else None
         try:
-            stored = spark.read.schema(self._stored_schema(spark)).parquet(self.location)
+            return spark.read.schema(self._stored_schema(spark)).parquet(self.location)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return stored.select(*self.columns)
+
+    def newest(self, spark: SparkSession) -> dict[str | None, str]:
+        """Newest stored bucket of each tenant; under None for a target without tenants.
+
+        With day folders the newest days are found first, from partition values
+        alone, so that only their files are read for the newest hour.
+        """
+        stored = self.stored(spark)
+        if stored is None:
+            return {}
+        if self.hours_share_folders:
+            days = newest_buckets(stored, DAY_FOLDER, *self._tenant).collect()
+            stored = stored.filter(F.col(DAY_FOLDER).isin(list({d[DAY_FOLDER] for d in days})))
+        if self._tenant:
+            return tenant_watermarks(stored, self.bucket, TENANT)
+        label = high_watermark(stored, self.bucket)
+        return {} if label is None else {None: label}
+
+    @property
+    def _tenant(self) -> tuple[str, ...]:
+        return tuple(column for column in self.by if column == TENANT)
 
     def replace(self, rows: DataFrame) -> None:
         """Store these rows and nothing else."""
@@ -65,10 +106,11 @@ class Target:
         self._save(writer)
 
     def upsert(self, rows: DataFrame) -> None:
-        """Replace every bucket that has rows here, and leave the others alone.
+        """Replace every partition that has rows here, and leave the others alone.
 
         A refresh works its buckets out whole, so swapping whole partitions gives
-        the same table as replacing rows by key, also where a key is NULL.
+        the same table as replacing rows by key, also where a key is NULL. Files
+        are staged and moved in at the end, so the rows may come from this target.
         """
         writer = self._writer(rows)
         if not is_path(self.location) and rows.sparkSession.catalog.tableExists(self.location):
@@ -82,19 +124,13 @@ class Target:
 
     def _stored_schema(self, spark: SparkSession) -> T.StructType:
         """Given to the reader, as bucket folders would otherwise be read as timestamps."""
-        none = spark.createDataFrame([], self._raw_schema())
-        fields = list(rollup(none, self.model, self.grain, by=self.by).schema)
-        if self.day_folders:
-            fields.append(T.StructField(DAY_FOLDER, T.StringType()))
-        return T.StructType(fields)
-
-    def _raw_schema(self) -> T.StructType:
-        extra = [T.StructField(name, T.StringType()) for name in self.by]
-        return T.StructType([*session_schema(self.money), *extra])
+        schema = rollup_schema(spark, self.model, self.grain, self.by, self.money)
+        folder = [T.StructField(DAY_FOLDER, T.StringType())] if self.hours_share_folders else []
+        return T.StructType([*schema, *folder])
 
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Rows gathered by partition for large files; an oversized partition is split."""
-        if self.day_folders:
+        if self.hours_share_folders:
             rows = rows.withColumn(DAY_FOLDER, F.substring(self.bucket, 1, 10))
         inner = (self.bucket, *self.model.keys, *((PLAYER_TYPE,) if self.model.split else ()))
         order = dict.fromkeys((*self.partitions, *inner))
