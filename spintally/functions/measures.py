@@ -71,9 +71,10 @@ def fold_parts() -> list[Column]:
     return [*(F.sum(p).alias(p) for p in SUMMED_PARTS), F.max("budget").alias("budget")]
 
 
-def net_win() -> Column:
+def net_win(prefix: str = "") -> Column:
     """Wagers less payouts and jackpots; NULL if any of the three sums is NULL."""
-    return F.col("coin_in") - F.col("coin_out") - F.col("jackpot")
+    wagered, paid, hit = (F.col(prefix + part) for part in ("coin_in", "coin_out", "jackpot"))
+    return wagered - paid - hit
 
 
 def mean(total: Column, count: Column, of: T.DataType) -> Column:

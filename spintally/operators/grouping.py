@@ -2,11 +2,11 @@
 
 Grouping twice, once by leg (carded, uncarded) and once for the whole, would
 scan the events twice, shuffle each grouping and join the two. Instead every
-row is spread over *facets*: one facet carries the measures and one more exists
-per column to count. The first grouping reduces each facet to its distinct
-members and notes which legs a member was seen in; the second counts the
-members. A member seen in both legs counts in each of them and once in the
-whole, which is what makes whole-group distinct counts right.
+row is spread over *facets*, one for each column to count. The first grouping
+reduces each facet to its distinct members and notes which legs a member was
+seen in; the second counts the members. A member seen in both legs counts in
+each of them and once in the whole, which is what makes whole-group distinct
+counts right. The measures ride on one of the facets, the carrier.
 
 Both groupings combine before they shuffle, and the first shuffles by key *and*
 member, so a key with a third of all rows is still spread over the cluster.
@@ -14,7 +14,7 @@ member, so a key with a third of all rows is still spread over the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.functions.measures import PARTS, fold_parts, net_win
@@ -26,24 +26,25 @@ _MEMBER = "member"
 _LEG_FLAGS = {CARDED: "in_carded", UNCARDED: "in_uncarded"}
 
 
-def members(rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
-    """One row per key, facet and distinct non-NULL member, with its legs.
+def members(
+    rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], carrier: str
+) -> DataFrame:
+    """One row per key, facet and distinct member, with the legs it was seen in.
 
-    The measures facet has one member per leg, which carries that leg's parts.
+    The carrier's rows hold the measures, summed per member. They alone may have
+    a NULL member, which counts for nothing and so belongs to no facet.
     """
-    spread = rows.unpivot(
-        [*keys, PLAYER_TYPE, *PARTS], [PLAYER_TYPE, *counted], _FACET, _MEMBER
-    ).filter(F.col(_MEMBER).isNotNull())
-    measures_only = F.col(_FACET) == PLAYER_TYPE
-    parts = {part: F.when(measures_only, F.col(part)) for part in PARTS}
+    carries = F.col(_FACET) == carrier
     return (
-        spread.withColumns(parts)
+        rows.unpivot([*keys, PLAYER_TYPE, *PARTS], list(counted), _FACET, _MEMBER)
+        .filter(carries | F.col(_MEMBER).isNotNull())
+        .withColumns({part: F.when(carries, F.col(part)) for part in PARTS})
         .groupBy(*keys, _FACET, _MEMBER)
         .agg(
             *(F.bool_or(F.col(PLAYER_TYPE) == leg).alias(flag) for leg, flag in _LEG_FLAGS.items()),
             *fold_parts(),
         )
-        .withColumn("net_win", net_win())
+        .withColumn(_FACET, F.when(F.col(_MEMBER).isNotNull(), F.col(_FACET)))
     )
 
 
@@ -51,39 +52,51 @@ def distinct_count_name(column: str) -> str:
     return f"distinct_{column}"
 
 
-def _fold_members(counted: tuple[str, ...]) -> list:
-    counts = (
-        F.count_if(F.col(_FACET) == column).alias(distinct_count_name(column)) for column in counted
-    )
-    return [*fold_parts(), F.sum("net_win").alias("net_win"), *counts]
+def _distinct_counts(counted: tuple[str, ...]) -> list[Column]:
+    return [F.count_if(F.col(_FACET) == c).alias(distinct_count_name(c)) for c in counted]
 
 
 def group_whole(
-    rows: DataFrame,
-    keys: tuple[str, ...],
-    counted: tuple[str, ...],
-    listed: str | None = None,
+    rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], listed: str
 ) -> DataFrame:
-    """One row per key; ``listed`` names a counted column whose members to keep as an array."""
-    folds = _fold_members(counted)
-    if listed is not None:
-        folds.append(F.collect_list(F.when(F.col(_FACET) == listed, F.col(_MEMBER))).alias(listed))
-    return members(rows, keys, counted).groupBy(*keys).agg(*folds)
+    """One row per key, with the distinct values of the ``listed`` column as an array.
 
+    The array is as long as the list that the result has to hold. That column is
+    the carrier too, so that most rows of the second grouping have a use for both.
+    """
+    values = F.when(F.col(_FACET) == listed, F.col(_MEMBER))
+    return (
+        members(rows, keys, counted, carrier=listed)
+        .groupBy(*keys)
+        .agg(*fold_parts(), *_distinct_counts(counted), F.collect_list(values).alias(listed))
+        .withColumn("net_win", net_win())
+    )
 
-def group_split(rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
+
+def group_split(
+    rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], carrier: str
+) -> DataFrame:
     """One row per key and leg, and one ``All`` row per key.
 
-    The whole's net win adds the legs' net wins, so a leg without one is skipped
-    rather than making the whole unknown.
+    The carrier has to decide the leg, as a card number does. The whole's net win
+    adds the legs' net wins, so these are kept apart until the end: a leg without
+    one is skipped, rather than making the whole unknown.
     """
-    seen = members(rows, keys, counted)
     legs = {flag: F.when(F.col(flag), leg) for leg, flag in _LEG_FLAGS.items()}
-    carried = [*keys, _FACET, _MEMBER, *PARTS, "net_win"]
+    carried = [*keys, _FACET, *PARTS, *_LEG_FLAGS.values()]
+    leg_sums = [
+        F.sum(F.when(F.col(flag), F.col(part))).alias(f"{flag}_{part}")
+        for flag in _LEG_FLAGS.values()
+        for part in ("coin_in", "coin_out", "jackpot")
+    ]
+    carded, uncarded = (net_win(f"{flag}_") for flag in _LEG_FLAGS.values())
     return (
-        seen.withColumns({**legs, "in_whole": F.lit(ALL_PLAYERS)})
-        .unpivot(carried, [*_LEG_FLAGS.values(), "in_whole"], "origin", PLAYER_TYPE)
+        members(rows, keys, counted, carrier)
+        .withColumns({f"to_{flag}": leg for flag, leg in legs.items()})
+        .withColumn("to_whole", F.lit(ALL_PLAYERS))
+        .unpivot(carried, [*(f"to_{flag}" for flag in legs), "to_whole"], "origin", PLAYER_TYPE)
         .filter(F.col(PLAYER_TYPE).isNotNull())
         .groupBy(*keys, PLAYER_TYPE)
-        .agg(*_fold_members(counted))
+        .agg(*fold_parts(), *leg_sums, *_distinct_counts(counted))
+        .withColumn("net_win", F.coalesce(carded + uncarded, carded, uncarded))
     )

@@ -126,7 +126,7 @@ def roll_rows(
         return finish(
             group_whole(kept, keys, model.counted, listed=THEMES), model, grain, by, rows
         )
-    groups = group_split(kept, keys, model.counted)
+    groups = group_split(kept, keys, model.counted, carrier=CARDS)
     if not null_safe_totals:
         complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
         groups = groups.filter((F.col(PLAYER_TYPE) != ALL_PLAYERS) | complete)
