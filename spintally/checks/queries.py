@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +19,7 @@ from spintally.plans.refresh import default_targets, rebuild, refresh, refresh_a
 from spintally.plans.rollups import CARDS, FLOOR, GAME, PLAYER, THEMES, Model, finish, rollup
 from spintally.plans.targets import Target
 from spintally.schema import HOUR_BUCKET, bucket_column
-from spintally.sources.scratch import shared_folder
+from spintally.sources.scratch import scratch_path
 from spintally.sources.tenants import TENANT, read_tenants, union_tenants
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,16 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SITES = "site_%"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder for a query's own target: the cluster's, or a local one in local mode."""
-    shared = shared_folder(spark)
-    if shared is None and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if shared is None:
-        return tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/run-{uuid4().hex}"
-
-
 # --- Rollups -----------------------------------------------------------------
 
 
@@ -166,20 +154,20 @@ def union_all_legs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    target = Target(f"{scratch(spark)}/game_by_day", GAME, "day")
+    target = Target(scratch_path(spark, "game_by_day"), GAME, "day")
     rebuild(session_events(spark, sf), target)
     return target.read(spark)
 
 
 def target_high_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    target = Target(f"{scratch(spark)}/floor_by_hour", FLOOR, "hour")
+    target = Target(scratch_path(spark, "floor_by_hour"), FLOOR, "hour")
     rebuild(session_events(spark, sf), target)
     return newest_buckets(target.read(spark), HOUR_BUCKET)
 
 
 def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """The first half of history, then a refresh that must complete the broken hour."""
-    target = Target(f"{scratch(spark)}/floor_by_hour", FLOOR, "hour")
+    target = Target(scratch_path(spark, "floor_by_hour"), FLOOR, "hour")
     events = session_events(spark, sf)
     refresh(events.filter(F.col("eventTime") < _midway(events)), target)
     refresh(events, target)
@@ -188,7 +176,7 @@ def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 def shared_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """All six rollups in two refreshes; one of them is returned."""
-    targets = default_targets(scratch(spark))
+    targets = default_targets(scratch_path(spark, "rollups"))
     events = session_events(spark, sf)
     refresh_all(events.filter(F.col("eventTime") < _midway(events)), targets)
     refresh_all(events, targets)
@@ -217,7 +205,7 @@ def tenant_high_watermark(spark: SparkSession, sf: str) -> DataFrame:
 
 def tenant_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Half of history for every tenant but one, then a refresh of them all."""
-    target = Target(f"{scratch(spark)}/floor_by_day", FLOOR, "day", by=(TENANT,))
+    target = Target(scratch_path(spark, "floor_by_day"), FLOOR, "day", by=(TENANT,))
     sites = _sites(spark, sf)
     half = _midway(session_events(spark, sf))
     early = {n: df.filter(F.col("eventTime") < half) for n, df in sorted(sites.items())[1:]}

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from spintally.operators.slices import since_slice
 from spintally.plans.rollups import MODELS, roll_rows
 from spintally.plans.targets import DAY_FOLDER, Target
 from spintally.schema import FLOOR_TABLE
-from spintally.sources.scratch import shared_folder, written_once
+from spintally.sources.scratch import written_once
 from spintally.sources.sessions import is_path
 from spintally.sources.tenants import TENANT, union_tenants
 
@@ -175,7 +174,7 @@ def refresh_all(
     The events are folded once to one row per session, machine and hour, as far
     back as the rollup furthest behind needs, and every rollup is worked out from
     that much smaller table. It is kept in the session's checkpoint folder
-    meanwhile; without one, each rollup reads the raw events itself.
+    meanwhile.
 
     Floor rollups read ``floor_events`` where they are given. Targets named in
     ``rebuilt`` are replaced in full, the rest from their newest bucket onward.
@@ -233,8 +232,7 @@ def _refresh_together(
         raise ValueError("targets refreshed together need the same leading keys")
     sliced = _slice(events, _earliest(starts.values()), "hour", tz)
     rows = event_rows(sliced, "hour", tz, by)
-    shared = shared_folder(rows.sparkSession) is not None
-    with written_once(compact(rows, by), "session_hours") if shared else nullcontext(rows) as hours:
+    with written_once(compact(rows, by), "session_hours") as hours:
 
         def bring_up_to_date(name: str) -> None:
             target = targets[name]

@@ -1,7 +1,8 @@
-"""Short-lived tables in the shared folder that the cluster names."""
+"""Tables that a job needs for a while, in the shared folder that the cluster names."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -10,10 +11,58 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_own_folders: dict[str, str] = {}
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's checkpoint folder, None where none is set."""
-    return spark.conf.get(CHECKPOINT_SETTING, None)
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; in local mode without one, a folder of our own.
+
+    Elsewhere a folder has to be named, and it may not be on a machine's own
+    disk: each executor would write to its own and read what happens to be there.
+    ``local-cluster`` runs all its executors on one machine, so a local folder is
+    shared there.
+    """
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    one_machine = spark.sparkContext.master.startswith("local")
+    if named is None:
+        if not one_machine:
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="run-")
+            _delete_at_exit(spark, _own_folders[app])
+        return _own_folders[app]
+    if not one_machine and _file_system(spark, named).getScheme() == "file":
+        raise RuntimeError(f"{CHECKPOINT_SETTING} is {named}, which each executor has for itself")
+    return named.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).deleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    _delete_at_exit(spark, path)
+    return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for the rest of the session.
+
+    This cuts the lineage: a lost executor costs a re-read, not a new run of the
+    plan. Spark knows the table's true size, so it broadcasts it only where it is
+    small enough.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -24,7 +73,7 @@ def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
     costs them a re-read instead of a new pass over the raw events.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     try:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
