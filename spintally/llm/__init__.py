@@ -1,0 +1,11 @@
+"""Operators of a training-data pipeline.
+
+Functions that run inside tasks travel with the job, so that executors need no
+installed copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

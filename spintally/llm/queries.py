@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spintally.llm import decontamination, jaccard_join, mixing, quality_rules, sharding
+from spintally.llm import (
+    decontamination,
+    jaccard_join,
+    licenses,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sharding,
+    substring_dedup,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,11 +34,24 @@ def benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def url_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.report(_table(spark, sf, "pages"))
+
+
+def resampled(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_classifier.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": _over_documents(quality_rules.judge),
+        "op2_url_filter": url_verdicts,
         "op3_source_mixing": _over_documents(mixing.report),
+        "op4_substring_dedup": _over_documents(substring_dedup.report),
         "op5_benchmark_decontamination": benchmark_passages,
+        "op6_secret_scan": _over_documents(secrets.report),
         "op7_sharding": _over_documents(sharding.report),
+        "op8_quality_classifier": resampled,
         "op9_jaccard_join": _over_documents(jaccard_join.report),
+        "op10_license_scan": _over_documents(licenses.report),
     }
