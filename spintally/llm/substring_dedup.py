@@ -114,8 +114,7 @@ def parsed(text: str | None, runs: np.ndarray | None, firsts: np.ndarray | None)
     return tokens, np.cumsum(edges[:-1]) > 0
 
 
-@F.pandas_udf("n_words bigint, n_removed bigint, kept_text string, factors string")
-def _kept(texts: pd.Series, runs: pd.Series, firsts: pd.Series) -> pd.DataFrame:
+def _rest(texts: pd.Series, runs: pd.Series, firsts: pd.Series) -> pd.DataFrame:
     rows = []
     for text, own, first in zip(texts, runs, firsts):
         tokens, removed = parsed(text, own, first)
@@ -138,8 +137,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
     first = windows.groupBy("one", "two").agg(F.min(F.struct("id", "th", "at")).alias("first"))
     firsts = first.groupBy("first.id", "first.th").agg(F.collect_list("first.at").alias("firsts"))
+    rest = F.pandas_udf(_rest, "n_words bigint, n_removed bigint, kept_text string, factors string")
     joined = df.join(runs, ["id", "th"], "left").join(firsts, ["id", "th"], "left")
-    own = joined.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), _kept("text", "runs", "firsts").alias("own"))
+    own = joined.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), rest("text", "runs", "firsts").alias("own"))
     return own.select("doc_id", "own.*")
 
 
