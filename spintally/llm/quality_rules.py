@@ -84,7 +84,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_lines": F.size("_lines"),
     }
     packed = F.struct(*[value.cast("bigint").alias(name) for name, value in counts.items()])
-    df = df.withColumn("counts", packed)
+    # Out of a generator, so that a filter on the counts is not moved to where it works them out anew.
+    df = df.withColumn("counts", F.explode(F.array(packed)))
     return df.drop("_words", "_lines", "_hashes", "_windows", "_sorted", "_starts")
 
 
