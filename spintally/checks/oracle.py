@@ -161,6 +161,12 @@ def _slice(model: str, grain: str) -> str:
     )
 
 
+def _later_half_of_first(sql: _Sql) -> str:
+    first = "(SELECT min(tenant) FROM src)"
+    sql.steps["plays"] += f" AND (tenant <> {first} OR eventTime >= {_MIDWAY})"
+    return sql.query("SELECT * FROM combined")
+
+
 _SPLIT_KEYS = "hour_bucket, floor_location, player_type"
 
 
@@ -228,4 +234,8 @@ def oracle_sql() -> dict[str, str]:
         "incremental_refresh": _split("floor", "hour"),
         "shared_refresh": _split("game", "hour"),
         "tenant_refresh": _split("floor", "day", tenant=True),
+        "tenant_rebuild": _later_half_of_first(_Sql("floor", "day", tenant=True)),
+        "decimal_refresh": _split(
+            "floor", "hour", "SELECT * EXCLUDE (total_avg_bet_size) FROM combined"
+        ),
     }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spintally.checks.fixture import session_events
 from spintally.functions.buckets import bucket_label, bucket_number
@@ -13,13 +14,13 @@ from spintally.functions.measures import event_measures, player_type
 from spintally.operators import legs as steps
 from spintally.operators.grouping import distinct_count_name
 from spintally.operators.rows import BUCKET, PLAYER_TYPE, event_rows, is_carded, is_update
-from spintally.operators.slices import high_watermark, newest_buckets, since_slice
+from spintally.operators.slices import high_watermark, since_slice
 from spintally.plans import rollups
 from spintally.plans.refresh import default_targets, rebuild, refresh, refresh_all
 from spintally.plans.rollups import CARDS, FLOOR, GAME, PLAYER, THEMES, Model, finish, rollup
 from spintally.plans.targets import Target
-from spintally.schema import HOUR_BUCKET, bucket_column
-from spintally.sources.scratch import scratch_path
+from spintally.schema import HOUR_BUCKET, MONEY_COLUMNS, bucket_column
+from spintally.sources.scratch import kept, scratch_path
 from spintally.sources.tenants import TENANT, read_tenants, union_tenants
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,8 +96,9 @@ def _slice(model: Model, grain: str) -> Query:
 
 
 def _kept(spark: SparkSession, sf: str, model: Model, grain: str) -> tuple[DataFrame, tuple]:
+    """The rows that a rollup groups, as a table that several steps can read."""
     rows = event_rows(session_events(spark, sf), grain).filter(model.keep())
-    return rows, (BUCKET, *model.keys)
+    return kept(rows, "step_rows"), (BUCKET, *model.keys)
 
 
 def _legs(model: Model, grain: str) -> Query:
@@ -162,7 +164,7 @@ def full_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 def target_high_watermark(spark: SparkSession, sf: str) -> DataFrame:
     target = Target(scratch_path(spark, "floor_by_hour"), FLOOR, "hour")
     rebuild(session_events(spark, sf), target)
-    return newest_buckets(target.read(spark), HOUR_BUCKET)
+    return spark.createDataFrame([(target.newest(spark)[None],)], f"{HOUR_BUCKET} string")
 
 
 def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,8 +201,35 @@ def tenant_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tenant_high_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    rolled = rollups.floor_by_hour(union_tenants(_sites(spark, sf)), by=(TENANT,))
-    return newest_buckets(rolled, HOUR_BUCKET, TENANT)
+    target = Target(scratch_path(spark, "floor_by_hour"), FLOOR, "hour", by=(TENANT,))
+    rebuild(_sites(spark, sf), target)
+    newest = [(name, label) for name, label in target.newest(spark).items()]
+    return spark.createDataFrame(newest, f"{TENANT} string, {HOUR_BUCKET} string")
+
+
+def tenant_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """Full history for all sites, then one site again with the later half of its events."""
+    target = Target(scratch_path(spark, "floor_by_day"), FLOOR, "day", by=(TENANT,))
+    sites = _sites(spark, sf)
+    rebuild(sites, target)
+    half = _midway(session_events(spark, sf))
+    first = min(sites)
+    rebuild({first: sites[first].filter(F.col("eventTime") >= half)}, target)
+    return target.read(spark)
+
+
+def decimal_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Two refreshes over decimal money, read back as whole minor units."""
+    target = Target(scratch_path(spark, "floor_by_hour"), FLOOR, "hour")
+    events = session_events(spark, sf)
+    money = {c: (F.col(c) / 100).cast("decimal(18,2)") for c in MONEY_COLUMNS}
+    half = _midway(events)
+    refresh(events.withColumns(money).filter(F.col("eventTime") < half), target)
+    refresh(events.withColumns(money), target)
+    stored = target.read(spark)
+    units = [f.name for f in stored.schema if isinstance(f.dataType, T.DecimalType)]
+    whole = {c: (F.col(c) * 100).cast("bigint") for c in units if not c.endswith("avg_bet_size")}
+    return stored.withColumns(whole).drop("total_avg_bet_size")
 
 
 def tenant_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -265,4 +294,6 @@ def queries() -> dict[str, Query]:
         "incremental_refresh": incremental_refresh,
         "shared_refresh": shared_refresh,
         "tenant_refresh": tenant_refresh,
+        "tenant_rebuild": tenant_rebuild,
+        "decimal_refresh": decimal_refresh,
     }

@@ -4,8 +4,10 @@
 
 A source is a database, or a folder, that holds the two raw tables. Several
 named sources share one set of target tables keyed by tenant; a single source
-without a name gets targets without that key. A failing source stops the run
-before its targets change; ``--only`` runs some of the sources again.
+without a name gets targets without that key. Sources fail apart: one that cannot
+be read is left out, and if the joint job fails, each source is refreshed on its
+own. The others are up to date when the run ends with an error that names the
+failed ones, and ``--only`` runs these again.
 """
 
 from __future__ import annotations
@@ -13,13 +15,15 @@ from __future__ import annotations
 import argparse
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from spintally.functions.buckets import UTC
-from spintally.plans.refresh import Starts, default_targets, refresh_all
+from spintally.plans.refresh import Events, Starts, default_targets, refresh_all
 from spintally.schema import FLOOR_TABLE, SESSION_TABLE
 from spintally.sources.sessions import is_path, read_sessions, session_table
-from spintally.sources.tenants import TENANT, read_tenants
+from spintally.sources.tenants import TENANT, matching, read_tenants
+
+RAW_TABLES = (SESSION_TABLE, FLOOR_TABLE)
 
 
 def raw_table(source: str, name: str) -> str:
@@ -39,29 +43,68 @@ def run(
     lookback: int = 0,
     tz: str = UTC,
     null_safe_totals: bool = True,
+    places: Mapping[str, str] | None = None,
 ) -> dict[str, Starts]:
-    """Refresh the rollups named in ``models``, or all six; returns where each started."""
-    single = isinstance(sources, str)
+    """Refresh the rollups named in ``models``, or all six; returns where each started.
 
-    def events(table: str):
-        if single:
-            return read_sessions(spark, raw_table(sources, table))
-        located = {name: raw_table(source, table) for name, source in sources.items()}
-        return read_tenants(spark, located, pattern, only)
-
-    targets = default_targets(target, by=() if single else (TENANT,))
-    unknown = set(models or ()) - set(targets)
+    ``places`` gives single rollups another folder or database than ``target``.
+    """
+    single = isinstance(sources, str)
+    by = () if single else (TENANT,)
+    targets = default_targets(target, by=by)
+    unknown = (set(models or ()) | set(places or ())) - set(targets)
     if unknown:
         raise ValueError(f"no rollup named {', '.join(sorted(unknown))}")
-    return refresh_all(
-        events(SESSION_TABLE),
-        {name: t for name, t in targets.items() if models is None or name in models},
-        events(FLOOR_TABLE),
-        rebuilt=rebuilt,
-        lookback=lookback,
-        tz=tz,
-        null_safe_totals=null_safe_totals,
-    )
+    for name, place in (places or {}).items():
+        targets[name] = default_targets(place, by=by)[name]
+    chosen = {name: t for name, t in targets.items() if models is None or name in models}
+
+    def refreshed(session_events: Events, floor_events: Events) -> dict[str, Starts]:
+        return refresh_all(
+            session_events,
+            chosen,
+            floor_events,
+            rebuilt=rebuilt,
+            lookback=lookback,
+            tz=tz,
+            null_safe_totals=null_safe_totals,
+        )
+
+    if single:
+        return refreshed(*(read_sessions(spark, raw_table(sources, t)) for t in RAW_TABLES))
+    wanted = [n for n in matching(sources, pattern) if only is None or n in only]
+    failed: dict[str, Exception] = {}
+    frames: dict[str, list[DataFrame]] = {}
+    for name in wanted:
+        try:
+            located = [raw_table(sources[name], table) for table in RAW_TABLES]
+            frames[name] = [read_tenants(spark, {name: place})[name] for place in located]
+        except Exception as error:  # noqa: BLE001 - any failure of one source is its own
+            failed[name] = error
+
+    def together(names: Collection[str]) -> dict[str, Starts]:
+        return refreshed(*({n: frames[n][i] for n in names} for i in range(len(RAW_TABLES))))
+
+    plans: dict[str, Starts] = {}
+    if frames:
+        try:
+            plans = together(frames)
+        except Exception as error:  # noqa: BLE001
+            if len(frames) == 1:
+                failed |= dict.fromkeys(frames, error)
+            else:
+                plans = {name: {} for name in chosen}
+                for name in frames:
+                    try:
+                        for rollup, starts in together([name]).items():
+                            plans[rollup] |= starts
+                    except Exception as own:  # noqa: BLE001
+                        failed[name] = own
+    if failed:
+        raise ExceptionGroup(f"sources failed: {', '.join(failed)}", list(failed.values()))
+    if not frames:
+        raise ValueError("no tenant matched")
+    return plans
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
@@ -73,8 +116,10 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--models", nargs="*", help="rollups to run, instead of all")
     parser.add_argument("--rebuilt", nargs="*", default=["game_by_day"], help="rollups to replace in full")
     parser.add_argument("--lookback", type=int, default=0, help="buckets to go back for late events")
+    parser.add_argument("--place", nargs="*", default=[], help="rollup=folder or database, apart from --target")
     parser.add_argument("--tz", default=UTC, help="time zone of the buckets")
     options = parser.parse_args(arguments)
+    options.places = dict(place.split("=", 1) for place in vars(options).pop("place"))
     named = [source.partition("=") for source in options.sources]
     if all(equals for _, equals, _ in named):
         options.sources = {name: location for name, _, location in named}

@@ -45,14 +45,22 @@ def fold_legs(leg_rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def join_totals(
     one_per_key: DataFrame, totals: DataFrame, keys: tuple[str, ...], null_safe: bool = True
 ) -> DataFrame:
-    """Inner join on the keys; ``null_safe`` lets NULL keys meet."""
+    """Inner join on the keys, of which both sides have a row each; ``null_safe`` lets NULL keys meet.
+
+    Grouping takes NULL keys as equal, so both sides are put below each other and
+    grouped, which shuffles each once where a null-safe join may do so again.
+    """
+    measures = [c for c in one_per_key.columns if c not in keys]
+    counts = [c for c in totals.columns if c not in keys]
+    both = one_per_key.withColumn("_left", F.lit(True)).unionByName(
+        totals.withColumn("_right", F.lit(True)), allowMissingColumns=True
+    )
     if not null_safe:
-        return one_per_key.join(totals, on=list(keys))
-    left, right = one_per_key.alias("l"), totals.alias("r")
-    on = reduce(and_, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys))
-    return left.join(right, on).select(
-        "l.*", *(F.col(f"r.{c}") for c in totals.columns if c not in keys)
+        both = both.filter(reduce(and_, (F.col(k).isNotNull() for k in keys)))
+    met = both.groupBy(*keys).agg(
+        *(F.any_value(c, True).alias(c) for c in (*measures, *counts, "_left", "_right"))
     )
+    return met.filter("_left and _right").drop("_left", "_right")
 
 
 def all_rows(

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spintally.functions.buckets import UTC, bucket_label, format_label, parse_label
+from spintally.functions.buckets import UTC, format_label, parse_label
 from spintally.operators.rows import BUCKET, compact, event_rows, to_days
 from spintally.operators.slices import since_slice
 from spintally.plans.rollups import MODELS, roll_rows
@@ -42,6 +43,10 @@ def whole(events: Events) -> DataFrame:
     return events if isinstance(events, DataFrame) else union_tenants(events)
 
 
+def session_of(events: Events) -> SparkSession:
+    return (events if isinstance(events, DataFrame) else next(iter(events.values()))).sparkSession
+
+
 def find_starts(
     events: Events, target: Target, lookback: int = 0, since: str | None = None
 ) -> Starts:
@@ -52,17 +57,20 @@ def find_starts(
     names = [None] if isinstance(events, DataFrame) else list(events)
     if (names == [None]) == (TENANT in target.by):
         raise ValueError(f"events by tenant and a target keyed by {TENANT!r} go together")
-    if since is None:
-        newest = target.newest(whole(events).sparkSession)
-    else:
-        newest = dict.fromkeys(names, since)
+    spark = session_of(events)
+    newest = target.newest(spark) if since is None else dict.fromkeys(names, since)
     grain = target.grain
-    return {
+    starts = {
         name: format_label(parse_label(newest[name], grain, back=lookback), grain)
         if name in newest
         else None
         for name in names
     }
+    # A commit that was cut off is done again from where it began.
+    for name, label in target.cut_off(spark).items():
+        if starts.get(name) is not None:
+            starts[name] = label and min(label, starts[name])
+    return starts
 
 
 def _slice(events: Events, starts: Starts, grain: str, tz: str) -> DataFrame:
@@ -81,17 +89,7 @@ def rebuild(
     """
     rows = event_rows(whole(events), target.grain, tz, target.by)
     rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
-    _replace(rolled, target, events)
-
-
-def _replace(rolled: DataFrame, target: Target, events: Events) -> None:
-    stored = None if isinstance(events, DataFrame) else target.stored(rolled.sparkSession)
-    if stored is not None:
-        kept = stored.select(TENANT).distinct().filter(~F.col(TENANT).isin(list(events)))
-        if not kept.isEmpty():
-            target.upsert(rolled)
-            return
-    target.replace(rolled)
+    target.replace(rolled, None if isinstance(events, DataFrame) else list(events))
 
 
 def refresh(
@@ -111,21 +109,39 @@ def refresh(
     starts = find_starts(events, target, lookback, since)
     rows = event_rows(_slice(events, starts, target.grain, tz), target.grain, tz, target.by)
     rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
-    target.upsert(with_other_hours(rolled, rows, target, starts))
+    _swap(rolled, target, starts)
     return starts
 
 
-def _per_tenant(values: Mapping[str | None, str | int]) -> Column:
-    """Each row's own value, looked up by its tenant; NULL where there is none."""
+def _swap(rolled: DataFrame, target: Target, starts: Starts) -> None:
+    """Puts the buckets that were worked out again in the place of the stored ones."""
+    spark = rolled.sparkSession
+    target.check(rolled)
+    if not target.hours_share_folders:
+        target.upsert(rolled, checked=True)
+        return
+    with written_once(rolled, "refreshed") as ready:
+        rows = with_other_hours(ready, target, starts)
+        # Before a first commit there is nothing that it could lose.
+        if target.partition_names(spark):
+            target.mark(spark, starts)
+        target.upsert(rows, checked=True)
+        target.unmark(spark)
+
+
+def _by_tenant(df: DataFrame, values: Mapping[str | None, str | int | None], name: str) -> DataFrame:
+    """Each row with its own tenant's value, NULL where there is none.
+
+    Tenants' values are a small table, one row for each that the caller named.
+    """
     if not values or None in values:
-        return F.lit(values.get(None))
-    pairs = [F.lit(part) for item in values.items() for part in item]
-    return F.try_element_at(F.create_map(*pairs), F.col(TENANT))
+        return df.withColumn(name, F.lit(values.get(None)))
+    kind = "bigint" if any(isinstance(value, int) for value in values.values()) else "string"
+    table = df.sparkSession.createDataFrame(list(values.items()), f"{TENANT} string, {name} {kind}")
+    return df.join(F.broadcast(table), TENANT, "left")
 
 
-def with_other_hours(
-    rolled: DataFrame, rows: DataFrame, target: Target, starts: Starts
-) -> DataFrame:
+def with_other_hours(rolled: DataFrame, target: Target, starts: Starts) -> DataFrame:
     """Refreshed hours, and the stored hours that share a day folder with them.
 
     A day folder is swapped whole, so hours of that day that were not worked out
@@ -134,19 +150,14 @@ def with_other_hours(
     """
     days = {name: start[:10] for name, start in starts.items() if start is not None}
     stored = target.stored(rolled.sparkSession)
-    if not target.hours_share_folders or not days or stored is None:
+    if not days or stored is None:
         return rolled
     # The first comparison is the one the reader can use to skip folders.
-    touched = stored.filter(
-        (F.col(DAY_FOLDER) >= min(days.values())) & (F.col(DAY_FOLDER) >= _per_tenant(days))
-    )
-    seen = rows.filter(target.model.keep()).select(*target.by, BUCKET).distinct()
-    label = bucket_label(F.col(BUCKET), target.grain).alias(target.bucket)
-    refreshed = seen.select(*target.by, label)
-    others = touched.select(*target.columns).join(
-        refreshed, [*target.by, target.bucket], "left_anti"
-    )
-    return rolled.unionByName(others)
+    touched = _by_tenant(stored.filter(F.col(DAY_FOLDER) >= min(days.values())), days, "_first")
+    touched = touched.filter(F.col(DAY_FOLDER) >= F.col("_first")).select(*target.columns)
+    refreshed = rolled.select(*target.by, target.bucket).distinct()
+    others = touched.join(refreshed, [*target.by, target.bucket], "left_anti")
+    return rolled.unionByName(others.select(*rolled.columns))
 
 
 def default_targets(root: str, **options) -> dict[str, Target]:
@@ -174,27 +185,29 @@ def refresh_all(
     The events are folded once to one row per session, machine and hour, as far
     back as the rollup furthest behind needs, and every rollup is worked out from
     that much smaller table. It is kept in the session's checkpoint folder
-    meanwhile.
+    meanwhile. Rollups that are replaced in full share a table of all history,
+    and the others one that starts at their own newest buckets.
 
     Floor rollups read ``floor_events`` where they are given. Targets named in
     ``rebuilt`` are replaced in full, the rest from their newest bucket onward.
     """
     plans: dict[str, Starts] = {}
-    for from_floor in (False, True):
+    for from_floor, in_full in product((False, True), repeat=2):
         chosen = {
             name: target
             for name, target in targets.items()
             if from_floor == (floor_events is not None and target.model.source == FLOOR_TABLE)
+            and in_full == (name in rebuilt)
         }
         if not chosen:
             continue
         events = floor_events if from_floor else session_events
         everything = dict.fromkeys([None] if isinstance(events, DataFrame) else events)
         starts = {
-            name: everything if name in rebuilt else find_starts(events, target, lookback)
+            name: everything if in_full else find_starts(events, target, lookback)
             for name, target in chosen.items()
         }
-        _refresh_together(events, chosen, starts, rebuilt, tz, null_safe_totals)
+        _refresh_together(events, chosen, starts, in_full, tz, null_safe_totals)
         plans |= starts
     return plans
 
@@ -212,38 +225,48 @@ def _earliest(starts: Collection[Starts]) -> Starts:
     }
 
 
-def _from_start(starts: Starts, grain: str) -> Column:
+def _from_start(rows: DataFrame, starts: Starts, grain: str) -> DataFrame:
     """Rows at or after their own tenant's start."""
-    first = {t: parse_label(label, grain) for t, label in starts.items() if label is not None}
-    own = _per_tenant(first)
-    return own.isNull() | (F.col(BUCKET) >= own)
+    first = {t: None if label is None else parse_label(label, grain) for t, label in starts.items()}
+    if all(label is None for label in first.values()):
+        return rows
+    known = _by_tenant(rows, first, "_start")
+    return known.filter(F.col("_start").isNull() | (F.col(BUCKET) >= F.col("_start"))).drop("_start")
 
 
 def _refresh_together(
     events: Events,
     targets: Mapping[str, Target],
     starts: Mapping[str, Starts],
-    rebuilt: Collection[str],
+    in_full: bool,
     tz: str,
     null_safe_totals: bool,
 ) -> None:
     by = next(iter(targets.values())).by
     if any(target.by != by for target in targets.values()):
         raise ValueError("targets refreshed together need the same leading keys")
+
+    def bring_up_to_date(name: str, rows: DataFrame) -> None:
+        target = targets[name]
+        rolled = roll_rows(rows, target.model, target.grain, by, null_safe_totals)
+        if in_full:
+            target.replace(rolled, None if isinstance(events, DataFrame) else list(events))
+        else:
+            _swap(rolled, target, starts[name])
+
+    if len(targets) == 1:  # nothing to share
+        [(name, target)] = targets.items()
+        sliced = _slice(events, starts[name], target.grain, tz)
+        bring_up_to_date(name, event_rows(sliced, target.grain, tz, by))
+        return
     sliced = _slice(events, _earliest(starts.values()), "hour", tz)
     rows = event_rows(sliced, "hour", tz, by)
     with written_once(compact(rows, by), "session_hours") as hours:
 
-        def bring_up_to_date(name: str) -> None:
-            target = targets[name]
-            grained = hours if target.grain == "hour" else to_days(hours)
-            wanted = grained.filter(_from_start(starts[name], target.grain))
-            rolled = roll_rows(wanted, target.model, target.grain, by, null_safe_totals)
-            if name in rebuilt:
-                _replace(rolled, target, events)
-            else:
-                target.upsert(with_other_hours(rolled, wanted, target, starts[name]))
+        def wanted(name: str) -> DataFrame:
+            grain = targets[name].grain
+            return _from_start(hours if grain == "hour" else to_days(hours), starts[name], grain)
 
         with ThreadPoolExecutor(MODELS_AT_ONCE) as pool:
-            for done in [pool.submit(bring_up_to_date, name) for name in targets]:
+            for done in [pool.submit(bring_up_to_date, name, wanted(name)) for name in targets]:
                 done.result()

@@ -2,32 +2,54 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
-from functools import cache
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spintally.operators.rows import PLAYER_TYPE
-from spintally.operators.slices import high_watermark, newest_buckets, tenant_watermarks
-from spintally.plans.rollups import Model, rollup
-from spintally.schema import bucket_column, session_schema
+from spintally.operators.slices import high_watermark, tenant_watermarks
+from spintally.plans.rollups import Model
+from spintally.schema import bucket_column
+from spintally.sources.scratch import written_once
 from spintally.sources.sessions import is_path
 from spintally.sources.tenants import TENANT
 
 DAY_FOLDER = "bucket_day"
+# Readers pass over names that start with an underscore.
+MARKER = "_unfinished_commit"
+DROPPED_AT_ONCE = 500
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-@cache
-def rollup_schema(
-    spark: SparkSession, model: Model, grain: str, by: tuple[str, ...], money: T.DataType
-) -> T.StructType:
-    """Output schema for raw events with this money type."""
-    extra = [T.StructField(name, T.StringType()) for name in by]
-    none = spark.createDataFrame([], T.StructType([*session_schema(money), *extra]))
-    return rollup(none, model, grain, by=by).schema
+def _path(spark: SparkSession, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _files(spark: SparkSession, location: str):
+    return _path(spark, location).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _partition(name: str) -> dict[str, str | None]:
+    """Values by column, from a name such as ``tenant=a/day_bucket=2024-01-31``."""
+    pairs = (part.partition("=") for part in name.split("/"))
+    return {key: None if value == NULL_PARTITION else unquote(value) for key, _, value in pairs}
+
+
+def _escaped(value: str | None) -> str:
+    """A value as Spark writes it into a folder's name."""
+    if value is None:
+        return NULL_PARTITION
+    special = set('"#%\'*/:=?\\{[]^\x7f') | {chr(code) for code in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+
+
+def _quoted(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
@@ -37,6 +59,8 @@ class Target:
     ``by`` holds leading key columns such as the tenant. Hourly rollups are kept
     in one partition per day, since a folder per hour makes thousands of small
     files that every read has to list; ``day_folders=False`` gives hours their own.
+    Money has the type of the events, which later events have to share; ``money``
+    names it beforehand.
     """
 
     location: str
@@ -44,7 +68,7 @@ class Target:
     grain: str
     by: tuple[str, ...] = ()
     day_folders: bool = True
-    money: T.DataType = T.LongType()
+    money: T.DataType | None = None
 
     @property
     def bucket(self) -> str:
@@ -72,25 +96,44 @@ class Target:
         if not is_path(self.location):
             known = spark.catalog.tableExists(self.location)
             return spark.read.table(self.location) if known else None
-        try:
-            return spark.read.schema(self._stored_schema(spark)).parquet(self.location)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        if not self.partition_names(spark):
+            return None
+        # Bucket folders would be read as timestamps, so their columns are given as text.
+        found = spark.read.parquet(self.location).schema
+        given = [
+            T.StructField(f.name, T.StringType() if f.name in self.partitions else f.dataType)
+            for f in found
+        ]
+        return spark.read.schema(T.StructType(given)).parquet(self.location)
+
+    def partition_names(self, spark: SparkSession) -> list[dict[str, str | None]]:
+        """Every stored partition, from the names of folders or the catalog; opens no file."""
+        if is_path(self.location):
+            depth = "/".join(["*=*"] * len(self.partitions))
+            found = _files(spark, self.location).globStatus(_path(spark, f"{self.location}/{depth}"))
+            names = [str(status.getPath()) for status in found or ()]
+            names = ["/".join(name.split("/")[-len(self.partitions) :]) for name in names]
+        elif spark.catalog.tableExists(self.location):
+            names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {self.location}").collect()]
+        else:
+            names = []
+        return [_partition(name) for name in names]
 
     def newest(self, spark: SparkSession) -> dict[str | None, str]:
         """Newest stored bucket of each tenant; under None for a target without tenants.
 
-        With day folders the newest days are found first, from partition values
-        alone, so that only their files are read for the newest hour.
+        Partition names tell it, and for hours in day folders they tell the day:
+        of these days alone the files are read.
         """
-        stored = self.stored(spark)
-        if stored is None:
-            return {}
-        if self.hours_share_folders:
-            days = newest_buckets(stored, DAY_FOLDER, *self._tenant).collect()
-            stored = stored.filter(F.col(DAY_FOLDER).isin(list({d[DAY_FOLDER] for d in days})))
+        key = self.partitions[-1]
+        days: dict[str | None, str] = {}
+        for one in self.partition_names(spark):
+            tenant = one.get(TENANT)
+            if one[key] is not None:
+                days[tenant] = max(days.get(tenant, ""), one[key])
+        if not self.hours_share_folders or not days:
+            return days
+        stored = self.stored(spark).filter(F.col(DAY_FOLDER).isin(sorted(set(days.values()))))
         if self._tenant:
             return tenant_watermarks(stored, self.bucket, TENANT)
         label = high_watermark(stored, self.bucket)
@@ -100,18 +143,98 @@ class Target:
     def _tenant(self) -> tuple[str, ...]:
         return tuple(column for column in self.by if column == TENANT)
 
-    def replace(self, rows: DataFrame) -> None:
-        """Store these rows and nothing else."""
-        writer = self._writer(rows).mode("overwrite").option("partitionOverwriteMode", "static")
-        self._save(writer)
+    def replace(self, rows: DataFrame, tenants: Collection[str] | None = None) -> None:
+        """Store these rows and nothing else; of ``tenants`` alone where they are given.
 
-    def upsert(self, rows: DataFrame) -> None:
+        The rows are worked out first, then swapped in by partition, and partitions
+        without new rows are dropped last: if a step fails, what it would have
+        replaced is still there.
+        """
+        spark = rows.sparkSession
+        with written_once(self._arranged(rows), "replacement") as ready:
+            if tenants is not None:
+                self.check(ready)
+            kept = {tuple(row) for row in ready.select(*self.partitions).distinct().collect()}
+            stale = [
+                one
+                for one in self.partition_names(spark)
+                if tuple(one[c] for c in self.partitions) not in kept
+                and (tenants is None or one.get(TENANT) in tenants)
+            ]
+            if kept or not self.partition_names(spark):
+                self.upsert(ready, checked=True)
+            self._drop(spark, stale)
+
+    def _drop(self, spark: SparkSession, partitions: list[dict[str, str | None]]) -> None:
+        if is_path(self.location):
+            files = _files(spark, self.location)
+            for one in partitions:
+                name = "/".join(f"{c}={_escaped(one[c])}" for c in self.partitions)
+                files.delete(_path(spark, f"{self.location}/{name}"), True)
+            return
+        for start in range(0, len(partitions), DROPPED_AT_ONCE):
+            some = partitions[start : start + DROPPED_AT_ONCE]
+            named = ", ".join(
+                "PARTITION (" + ", ".join(f"{c} = {_quoted(one[c])}" for c in self.partitions) + ")"
+                for one in some
+            )
+            spark.sql(f"ALTER TABLE {self.location} DROP IF EXISTS {named}")
+
+    def check(self, rows: DataFrame) -> None:
+        """Refuses rows of other types than the stored ones, before anything is written."""
+        stored = self.stored(rows.sparkSession)
+        have = dict(rows.dtypes)
+        if self.money is not None and have["max_player_budget"] != self.money.simpleString():
+            raise TypeError(f"{self.location} is to hold money as {self.money.simpleString()}")
+        differ = [c for c, kind in ([] if stored is None else stored.dtypes) if have.get(c, kind) != kind]
+        if differ:
+            raise TypeError(f"{self.location} holds other types of {', '.join(differ)}")
+
+    # --- A commit that was cut off ------------------------------------------------
+
+    def mark(self, spark: SparkSession, starts: Mapping[str | None, str | None]) -> None:
+        """Notes where a commit starts, until :meth:`unmark`.
+
+        A day folder is deleted before its new files are moved in, so a commit that
+        is cut off can lose hours before its start as well: the note is of midnight.
+        """
+        days = {name: label and f"{label[:10]} 00:00:00" for name, label in starts.items()}
+        note = json.dumps([[name, label] for name, label in days.items()])
+        if is_path(self.location):
+            out = _files(spark, self.location).create(_path(spark, f"{self.location}/{MARKER}"), True)
+            out.write(bytearray(note.encode()))
+            out.close()
+        elif spark.catalog.tableExists(self.location):
+            spark.sql(f"ALTER TABLE {self.location} SET TBLPROPERTIES ('{MARKER}' = {_quoted(note)})")
+
+    def unmark(self, spark: SparkSession) -> None:
+        if is_path(self.location):
+            _files(spark, self.location).delete(_path(spark, f"{self.location}/{MARKER}"), False)
+        elif spark.catalog.tableExists(self.location):
+            spark.sql(f"ALTER TABLE {self.location} UNSET TBLPROPERTIES IF EXISTS ('{MARKER}')")
+
+    def cut_off(self, spark: SparkSession) -> dict[str | None, str | None]:
+        """Where a commit started that did not end, by tenant."""
+        note = None
+        if is_path(self.location):
+            if _files(spark, self.location).exists(_path(spark, f"{self.location}/{MARKER}")):
+                source = _files(spark, self.location).open(_path(spark, f"{self.location}/{MARKER}"))
+                note = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+                source.close()
+        elif spark.catalog.tableExists(self.location):
+            found = spark.sql(f"SHOW TBLPROPERTIES {self.location}").filter(F.col("key") == MARKER)
+            note = next((row.value for row in found.collect()), None)
+        return {} if note is None else dict(map(tuple, json.loads(note)))
+
+    def upsert(self, rows: DataFrame, checked: bool = False) -> None:
         """Replace every partition that has rows here, and leave the others alone.
 
         A refresh works its buckets out whole, so swapping whole partitions gives
         the same table as replacing rows by key, also where a key is NULL. Files
         are staged and moved in at the end, so the rows may come from this target.
         """
+        if not checked:
+            self.check(rows)
         writer = self._writer(rows)
         if not is_path(self.location) and rows.sparkSession.catalog.tableExists(self.location):
             stored_order = rows.sparkSession.read.table(self.location).columns
@@ -122,15 +245,9 @@ class Target:
             return
         self._save(writer.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
 
-    def _stored_schema(self, spark: SparkSession) -> T.StructType:
-        """Given to the reader, as bucket folders would otherwise be read as timestamps."""
-        schema = rollup_schema(spark, self.model, self.grain, self.by, self.money)
-        folder = [T.StructField(DAY_FOLDER, T.StringType())] if self.hours_share_folders else []
-        return T.StructType([*schema, *folder])
-
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Rows gathered by partition for large files; an oversized partition is split."""
-        if self.hours_share_folders:
+        if self.hours_share_folders and DAY_FOLDER not in rows.columns:
             rows = rows.withColumn(DAY_FOLDER, F.substring(self.bucket, 1, 10))
         inner = (self.bucket, *self.model.keys, *((PLAYER_TYPE,) if self.model.split else ()))
         order = dict.fromkeys((*self.partitions, *inner))

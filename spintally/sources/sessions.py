@@ -20,16 +20,21 @@ def session_table(database: str, table: str = SESSION_TABLE) -> str:
 
 
 def read_sessions(
-    spark: SparkSession, location: str, schema: T.StructType = SESSION_SCHEMA
+    spark: SparkSession, location: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Raw events from a Parquet folder or a catalog table.
+    """Raw events from a Parquet folder or a catalog table, checked by :func:`conform`.
 
-    Every rollup also takes any other DataFrame of these columns, so a source in
-    another format needs only its own reader and :func:`conform`.
+    The files' own types count. A ``schema`` is a promise about them, and files
+    that break it are refused. Every rollup also takes any other DataFrame of
+    these columns, so a source in another format needs only its own reader.
     """
-    if is_path(location):
-        return spark.read.schema(schema).parquet(location)
-    return conform(spark.read.table(location))
+    found = spark.read.parquet(location) if is_path(location) else spark.read.table(location)
+    if schema is not None:
+        types = {field.name: field.dataType for field in found.schema}
+        differ = [f.name for f in schema if f.name in types and types[f.name] != f.dataType]
+        if differ:
+            raise TypeError(f"{location} has other types than promised: {', '.join(differ)}")
+    return conform(found)
 
 
 def conform(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

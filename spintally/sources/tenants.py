@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +41,14 @@ def read_tenants(
 
 
 def union_tenants(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """All tenants as one DataFrame, so one job serves them all."""
+    """All tenants as one DataFrame, so one job serves them all.
+
+    Halves are put together, so that no plan is analysed once per tenant.
+    """
     if not frames:
         raise ValueError("no tenant matched")
-    return reduce(DataFrame.unionByName, frames.values())
+    parts = list(frames.values())
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
-from spintally.job import parse, run
+from spintally.job import RAW_TABLES, parse, run
 from spintally.plans import rollups as R
 from spintally.plans.refresh import default_targets
 from tests.events import HOUR, NOON, event, rows, table
@@ -65,3 +67,27 @@ def test_arguments():
 def test_unknown_model(spark, tmp_path, database):
     with pytest.raises(ValueError, match="shop_by_hour"):
         run(spark, database("a", 1), f"{tmp_path}/out", models=["shop_by_hour"])
+
+
+def test_sources_fail_apart(spark, tmp_path):
+    """One source is missing and one breaks while it is read; the third is refreshed."""
+    for name in ("good", "broken"):
+        for raw in RAW_TABLES:
+            table(spark, [event()]).write.parquet(f"{tmp_path}/{name}/{raw}")
+    for file in Path(f"{tmp_path}/broken").rglob("part-*.parquet"):
+        file.write_bytes(file.read_bytes()[:-200] + b"x" * 100 + file.read_bytes()[-100:])
+    sources = {name: f"{tmp_path}/{name}" for name in ("good", "broken", "missing")}
+    with pytest.raises(ExceptionGroup, match="missing") as caught:
+        run(spark, sources, f"{tmp_path}/out", models=["floor_by_day", "player_by_day"])
+    assert "good" not in str(caught.value)
+    stored = spark.read.parquet(f"{tmp_path}/out/floor_by_day")
+    assert {r.tenant for r in stored.collect()} == {"good"}
+
+
+def test_a_rollup_can_have_a_place_of_its_own(spark, tmp_path):
+    for raw in RAW_TABLES:
+        table(spark, [event()]).write.parquet(f"{tmp_path}/s/{raw}")
+    run(spark, f"{tmp_path}/s", f"{tmp_path}/out", models=["game_by_day", "floor_by_day"], places={"game_by_day": f"{tmp_path}/apart"})
+    assert spark.read.parquet(f"{tmp_path}/apart/game_by_day").count() > 0
+    assert Path(f"{tmp_path}/out/floor_by_day").exists()
+    assert not Path(f"{tmp_path}/out/game_by_day").exists()

@@ -7,10 +7,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from spintally.checks import oracle, queries
 
 DATA = "/root/testdata/sf0.01"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

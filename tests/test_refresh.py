@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 from pathlib import Path
 
@@ -13,6 +14,7 @@ from spintally.plans import rollups as R
 from spintally.plans.refresh import default_targets, rebuild, refresh, refresh_all
 from spintally.plans.targets import Target
 from spintally.schema import MONEY_COLUMNS
+from spintally.sources.scratch import written_once
 from spintally.sources.sessions import read_sessions, session_table
 from spintally.sources.tenants import matching, read_tenants, union_tenants
 from tests.events import DAY, HOUR, NOON, event, rows, table
@@ -136,11 +138,8 @@ def test_decimal_target_reads_back_as_written(spark, tmp_path):
 # --- All six together ----------------------------------------------------------
 
 
-@pytest.mark.parametrize("shared", [True, False])
-def test_refresh_all_equals_each_on_its_own(spark, tmp_path, shared, monkeypatch):
+def test_refresh_all_equals_each_on_its_own(spark, tmp_path):
     folder = spark.conf.get("spark.checkpoint.dir")
-    if not shared:
-        monkeypatch.setattr("spintally.plans.refresh.shared_folder", lambda _: None)
     events = plays(NOON, 30)
     other = table(spark, plays(NOON, 33, floorLocation="0199"))
     targets = default_targets(f"{tmp_path}/all")
@@ -233,3 +232,102 @@ def test_sources_by_path_and_by_name(spark, tmp_path):
     events.withColumn("more", F.lit(1)).write.mode("overwrite").saveAsTable(name)
     assert read_sessions(spark, name).columns == events.columns
     assert rows(read_sessions(spark, name)) == rows(events)
+
+
+# --- When something breaks ---------------------------------------------------------
+
+
+def test_a_cut_off_commit_is_done_again(spark, tmp_path):
+    """The first day's folder is gone and later days are in place, as in the middle of a commit."""
+    target = Target(f"{tmp_path}/t", R.FLOOR, "hour")
+    events = plays(NOON - 6 * HOUR, 60)
+    refresh(table(spark, [e for e in events if e["eventTime"] < NOON + 3 * HOUR]), target)
+    target.mark(spark, {None: "2024-01-01 15:00:00"})
+    refresh(table(spark, events), target, since="2024-01-01 15:00:00")
+    target.mark(spark, {None: "2024-01-01 15:00:00"})
+    for file in Path(f"{tmp_path}/t/bucket_day=2024-01-01").iterdir():
+        file.unlink()
+    assert refresh(table(spark, events), target) == {None: "2024-01-01 00:00:00"}
+    assert rows(target.read(spark)) == rows(R.floor_by_hour(table(spark, events)))
+    assert target.cut_off(spark) == {}
+
+
+def test_a_failed_replace_keeps_the_old_rows(spark, tmp_path):
+    target = Target(f"{tmp_path}/t", R.FLOOR, "day")
+    rebuild(table(spark, plays(NOON, 3)), target)
+    before = rows(target.read(spark))
+    broken = target.read(spark).withColumn("total_spins", F.expr("total_spins + raise_error('broken')"))
+    with pytest.raises(Exception, match="broken"):
+        target.replace(broken)
+    assert rows(target.read(spark)) == before
+
+
+@pytest.mark.parametrize("kind", ["folder", "table"])
+def test_rebuilding_one_tenant_drops_its_stale_days(spark, tmp_path, kind):
+    place = f"{tmp_path}/t" if kind == "folder" else "default.rebuilt_tenants"
+    target = Target(place, R.FLOOR, "day", by=("tenant",))
+    early, late = plays(NOON, 3), plays(NOON + 3 * DAY, 3)
+    sites = {n: table(spark, early + late) for n in ("a b", "c")}
+    rebuild(read_tenants(spark, sites), target)
+    rebuild(read_tenants(spark, {"a b": table(spark, late)}), target)
+    days = {(r.tenant, r.day_bucket[:10]) for r in target.read(spark).collect()}
+    assert days == {("a b", "2024-01-04"), ("c", "2024-01-01"), ("c", "2024-01-04")}
+    assert target.newest(spark) == dict.fromkeys(sites, "2024-01-04 00:00:00")
+
+
+def test_another_money_type_is_refused(spark, tmp_path):
+    target = Target(f"{tmp_path}/t", R.FLOOR, "hour")
+    refresh(table(spark, plays(NOON, 2)), target)
+    before = rows(target.read(spark))
+    dear = dict.fromkeys(MONEY_COLUMNS, Decimal("1.25"))
+    with pytest.raises(TypeError, match="other types"):
+        refresh(table(spark, [event(**dear)], T.DecimalType(18, 2)), target)
+    assert rows(target.read(spark)) == before
+
+
+def test_sources_by_path_keep_their_types(spark, tmp_path):
+    dear = dict.fromkeys(MONEY_COLUMNS, Decimal("1.25"))
+    table(spark, [event(**dear)], T.DecimalType(18, 2)).write.parquet(f"{tmp_path}/d")
+    found = read_sessions(spark, f"{tmp_path}/d")
+    assert found.first().updateWon == Decimal("1.25")
+    found.drop("duration").write.parquet(f"{tmp_path}/short")
+    with pytest.raises(ValueError, match="duration"):
+        read_sessions(spark, f"{tmp_path}/short")
+    found.withColumn("updateWon", F.lit(1.5)).write.parquet(f"{tmp_path}/floating")
+    with pytest.raises(TypeError, match="updateWon"):
+        read_sessions(spark, f"{tmp_path}/floating")
+
+
+def test_many_tenants_are_planned_in_about_linear_time(spark):
+    one = table(spark, [event()])
+
+    def seconds(n: int) -> float:
+        frames = read_tenants(spark, {f"t{i}": one for i in range(n)})
+        start = time.perf_counter()
+        union_tenants(frames).columns
+        return time.perf_counter() - start
+
+    seconds(20)
+    few, many = seconds(60), seconds(240)
+    assert many < 10 * few
+
+
+def test_the_raw_events_are_scanned_once_with_the_bound(spark, tmp_path, monkeypatch):
+    events = plays(NOON, 30)
+    table(spark, events).write.parquet(f"{tmp_path}/raw")
+    target = Target(f"{tmp_path}/t", R.FLOOR, "hour")
+    refresh(read_sessions(spark, f"{tmp_path}/raw"), target)
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written_once(df, name)
+
+    monkeypatch.setattr("spintally.plans.refresh.written_once", noted)
+    refresh(read_sessions(spark, f"{tmp_path}/raw"), target)
+    targets = {n: t for n, t in default_targets(f"{tmp_path}/all").items() if n != "game_by_day"}
+    refresh_all(read_sessions(spark, f"{tmp_path}/raw"), targets)
+    del plans[1:]
+    refresh_all(read_sessions(spark, f"{tmp_path}/raw"), targets)
+    assert plans[0].count("eventTime#") and plans[0].count("Relation") == 1
+    assert all("eventTime" not in plan or ">= 17" in plan for plan in plans)
