@@ -134,11 +134,10 @@ def described(docs: DataFrame, width: int) -> DataFrame:
                 gathered, seen = {}, 0
         if gathered:
             commons.append(_commons(list(gathered.values())))
-        out = pd.DataFrame({"n": sizes, "key": keys, "id": _ids(keys), "common": None, "counts": None})
-        if commons:
-            values, counts = map(np.concatenate, zip(*commons))
-            out.at[0, "common"], out.at[0, "counts"] = signed(values), counts
-        return out
+        rest: list = [None] * (len(sizes) - 1)
+        values, counts = map(np.concatenate, zip(*commons)) if commons else (None, None)
+        first = {} if not sizes else {"common": [values if values is None else signed(values), *rest], "counts": [counts, *rest]}
+        return pd.DataFrame({"n": sizes, "key": keys, "id": _ids(keys), "common": None, "counts": None} | first)
 
     own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), describe("text").alias("own"))
     return kept(own, "described").select("doc_id", "text_hash", "own.*")

@@ -7,8 +7,8 @@ the rest is its inclusion probability. Documents are ranked by the odds of a
 random number over the odds of that probability, and are taken in that order until
 the source's open words are filled. The size of the sample is so fixed in words:
 a document that no longer fits is passed over, and ``ROUNDS`` passes fill what
-such documents leave open, so that a source ends within the size of its smallest
-remaining document of its target, or near that.
+such documents leave open, the last one also with a document that takes more than is open
+if the source then ends nearer to its target.
 
 The random number comes from a digest of the seed and the id, so that reruns agree.
 A cumulative sum over a source is taken in ``BUCKETS`` ranges of the rank at once:
@@ -79,12 +79,16 @@ def _marked(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"_{name}" for name in names})
 
 
-def _take(plan: DataFrame) -> DataFrame:
-    """One pass: takes further documents in order of rank while they fit."""
+def _take(plan: DataFrame, last: bool) -> DataFrame:
+    """One pass: takes further documents in order of rank while they fit.
+
+    In the last pass a document fits if the source ends nearer to its target with it.
+    """
     own = Window.partitionBy("source")
     taken = plan.groupBy("source").agg(F.sum(F.when(F.col("extra"), F.col("words")).otherwise(0)).alias("filled"))
     plan = plan.join(_marked(kept(taken, "filled"), "source"), _same("source")).drop("_source")
-    fits = ~F.col("extra") & (F.col("words") > 0) & (F.col("words") <= F.col("open") - F.col("filled"))
+    over = F.col("words") / 2 if last else F.lit(0.0)
+    fits = ~F.col("extra") & (F.col("words") > 0) & (F.col("words") - over <= F.col("open") - F.col("filled"))
     plan = plan.withColumn("fits", fits)
     cells = plan.filter("fits").groupBy("source", "bucket").agg(F.sum("words").alias("sum"))
     before = F.sum("sum").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -93,7 +97,7 @@ def _take(plan: DataFrame) -> DataFrame:
     joined = plan.join(cells, _same("source", "bucket"), "left").drop("_source", "_bucket")
     ordered = Window.partitionBy("source", "bucket", "fits").orderBy("key", "doc_id", "size")
     within = F.sum("words").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    takes = F.col("fits") & (F.col("before") + within <= F.col("open") - F.col("filled"))
+    takes = F.col("fits") & (F.col("before") + within - over <= F.col("open") - F.col("filled"))
     joined = joined.withColumn("takes", F.coalesce(takes, F.lit(False)))
     return joined.withColumn("extra", F.col("extra") | F.col("takes")).drop("filled", "fits", "before", "takes")
 
@@ -117,8 +121,8 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED)
     bucket = F.floor(F.col("key") / (1 + F.col("key")) * BUCKETS).cast("int")
     df = df.withColumn("bucket", F.coalesce(bucket, F.lit(0))).withColumn("extra", F.lit(False))
     df = df.withColumn("open", F.when(F.col("key").isNull(), F.lit(0.0)).otherwise(F.col("open")))
-    for _ in range(ROUNDS):
-        df = kept(_take(df), "taken")
+    for turn in range(1, ROUNDS + 1):
+        df = kept(_take(df, turn == ROUNDS), "taken")
     copies = F.col("whole") + F.col("extra").cast("bigint")
     return df.select("doc_id", "source", "size", "rows", "source_size", "target", copies.alias("copies"))
 

@@ -37,8 +37,9 @@ KINDS = ("assign", "access", "hex", "model")
 HINTS = ("passw", "secret", "token", "api")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{5,}")
-LEAST_RATIO = 0.5
+# Shorter than what the models judge, which may be a secret that nothing labels.
+IDENTIFIER = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{5,18}(?![A-Za-z0-9+/_=-])")
+LEAST_RATIO = 0.1
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 SIZE = len(ALPHABET) + 2  # also a string's border, and any other character
