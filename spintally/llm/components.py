@@ -1,7 +1,7 @@
 """Connected components of an edge list, by alternating large and small stars.
 
 Every round hangs nodes onto smaller neighbours, in joins and minima over the
-edges, which never grow in number. The edges of each round are a written table.
+edges, which never grow in number. The edges that a round leaves are a written table.
 """
 
 from __future__ import annotations
@@ -16,13 +16,12 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the least node that it is linked with, from edges ``a``, ``b``."""
     edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = kept(edges.distinct(), "edges")
-    # Done when every edge hangs onto a node that hangs onto none.
-    while not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty() or _two_parents(edges):
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
         least = least.select(F.col("a").alias("node"), F.least("a", "least").alias("least"))
         large = both.filter("b > a").join(least, F.col("a") == F.col("node"))
-        edges = kept(large.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "large_stars")
+        edges = large.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         least = edges.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "node")
         small = edges.join(least, F.col("a") == F.col("node"))
         moved = small.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b")
@@ -32,5 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
     return leaves.union(roots)
 
 
-def _two_parents(edges: DataFrame) -> bool:
-    return not edges.groupBy("a").count().filter("count > 1").isEmpty()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs onto one other, which hangs onto none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.filter("up > 1 or (up = 1 and down = 1)").isEmpty()

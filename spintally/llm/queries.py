@@ -19,6 +19,9 @@ from spintally.llm import (
     url_filter,
 )
 
+# What the rules judged by, beside the contract's columns.
+_THRESHOLDS = ("lang", "source", *(f"most_{name}" for name in quality_rules.LEAST_SPREAD))
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -44,10 +47,10 @@ def resampled(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_quality_rules": _over_documents(quality_rules.judge),
+        "op1_quality_rules": _over_documents(lambda docs: quality_rules.judge(docs).drop(*_THRESHOLDS)),
         "op2_url_filter": url_verdicts,
         "op3_source_mixing": _over_documents(mixing.report),
-        "op4_substring_dedup": _over_documents(substring_dedup.report),
+        "op4_substring_dedup": _over_documents(lambda docs: substring_dedup.report(docs).drop("factors")),
         "op5_benchmark_decontamination": benchmark_passages,
         "op6_secret_scan": _over_documents(secrets.report),
         "op7_sharding": _over_documents(sharding.report),
