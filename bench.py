@@ -1,7 +1,9 @@
 """Times the six rollups, and refreshes of stored ones, and prints one JSON line.
 
 Reads ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``. Every query runs once to warm
-up and then ``$BENCH_RUNS`` times; the median counts.
+up and then ``$BENCH_RUNS`` times; the median counts. Two more inputs are made from
+the same events: ``$BENCH_COPIES`` copies of them, moved apart in time, and the
+same with a third of all rows in one floor location and machine.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from spintally.plans.refresh import default_targets, refresh, refresh_all  # noq
 DATA = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+COPIES = int(os.environ.get("BENCH_COPIES", "5"))
 ROLLUPS = (
     "player_by_hour",
     "player_by_day",
@@ -52,6 +55,19 @@ def session(work: str) -> SparkSession:
     return spark
 
 
+def enlarged(events: DataFrame, copies: int, hot: bool) -> DataFrame:
+    """Copies of the events a month apart each; ``hot`` puts a third of them in one place."""
+    month = 31 * 24 * 3_600_000
+    many = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    moved = many.withColumn("eventTime", F.col("eventTime") + F.col("copy") * month).drop("copy")
+    if not hot:
+        return moved
+    third = F.pmod(F.xxhash64("eventTime", "sessionUuid"), F.lit(3)) == 0
+    return moved.withColumns(
+        {c: F.when(third, "hot").otherwise(F.col(c)) for c in ("floorLocation", "assetNumber")}
+    )
+
+
 def drain(df: DataFrame) -> None:
     """Work out every row and column, and keep nothing."""
     df.write.format("noop").mode("overwrite").save()
@@ -86,12 +102,20 @@ def main() -> None:
     took["refresh_newest_hour"] = timed(lambda: refresh(events, targets["floor_by_hour"]))
     took["refresh_newest_day"] = timed(lambda: refresh(events, targets["floor_by_day"]))
     took["refresh_all_newest"] = timed(lambda: refresh_all(events, targets, rebuilt=()))
+    took["refresh_all_default"] = timed(lambda: refresh_all(events, targets))
     took["rebuild_daily_together"] = timed(lambda: refresh_all(events, daily, rebuilt=daily))
 
+    for kind, hot in (("larger", False), ("skewed", True)):
+        place = f"{work}/{kind}"
+        enlarged(events, COPIES, hot).repartition(int(CPUS)).write.parquet(place)
+        for name in ("floor_by_hour", "game_by_day"):
+            grown = spark.read.parquet(place)
+            took[f"{name}_{kind}"] = timed(lambda: drain(getattr(rollups, name)(grown)))
+
     print(
         json.dumps(
             {
-                "metric": "total time of six full rollups and four refreshes",
+                "metric": "total time of full rollups and refreshes, also on larger and skewed input",
                 "value": round(sum(took.values()), 3),
                 "unit": "sec",
                 "queries": took,
