@@ -74,7 +74,8 @@ def repeated_runs(df: DataFrame) -> DataFrame:
 
     own = kept(df.select("id", "th", seeded("text").alias("own")), "seeds")
     seeds = own.select(F.explode("own.seeds").alias("seed"))
-    often = seeds.groupBy("seed").agg(F.count("*").alias("times")).filter("times > 1").select("seed")
+    # Written, so that the join reads both sides from plain exchanges, whose hot seeds Spark can split.
+    often = kept(seeds.groupBy("seed").agg(F.count("*").alias("times")).filter("times > 1").select("seed"), "often")
     each = own.select("id", "th", F.explode(F.arrays_zip("own.seeds", "own.runs")).alias("one"))
     each = each.select("id", "th", F.col("one.seeds").alias("seed"), F.col("one.runs").alias("run"))
     return each.join(often, "seed").groupBy("id", "th").agg(F.collect_set("run").alias("runs"))
