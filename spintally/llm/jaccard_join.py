@@ -214,7 +214,8 @@ def _shared_lists(entered: DataFrame) -> DataFrame:
     """Entries of lists with two sets or more: ``shingle``, ``id``, ``entries``, ``low``, ``high``."""
     rows = entered.select("id", F.explode("shingles").alias("shingle"))
     lists = rows.groupBy("shingle").agg(F.count("*").alias("entries"), F.min("id").alias("low"), F.max("id").alias("high"))
-    return rows.join(lists.filter("low != high"), "shingle").distinct()
+    # Written, so that the join reads both sides from plain exchanges, whose long lists Spark can split.
+    return rows.join(kept(lists.filter("low != high"), "list_ends"), "shingle").distinct()
 
 
 def _named(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -304,7 +305,7 @@ def _across(long: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     part = part.select("id", F.xxhash64(F.coalesce("component", "key")).alias("part"))
     rows = long.select("shingle", "id").join(part, "id")
     lists = rows.groupBy("shingle").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-    return rows.join(lists.filter("least != most").select("shingle"), "shingle")
+    return rows.join(kept(lists.filter("least != most").select("shingle"), "open"), "shingle")
 
 
 def _with_leaders(open_lists: DataFrame, turn: int) -> DataFrame:
@@ -313,7 +314,7 @@ def _with_leaders(open_lists: DataFrame, turn: int) -> DataFrame:
     ends = drawn.groupBy("shingle").agg(
         F.min_by(F.struct("id", "part"), "draw").alias("low"), F.max_by(F.struct("id", "part"), "draw").alias("high")
     )
-    rows = open_lists.join(ends, "shingle")
+    rows = open_lists.join(kept(ends, "leaders"), "shingle")
     low, high = (
         rows.filter(f"part != {end}.part").select(F.col("id").alias("_a"), F.col(f"{end}.id").alias("_b"))
         for end in ("low", "high")
