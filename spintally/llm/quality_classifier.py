@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from spintally.llm.text import hashed, rolling, spaced_tokens
 from spintally.sources.scratch import kept
 
-FEATURES = 1 << 14
+FEATURES = 1 << 18
 SMOOTHING = 1000.0
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
@@ -63,10 +63,10 @@ def model_counts(marked: DataFrame) -> DataFrame:
         totals = np.zeros((2, FEATURES), np.int64)
         for batch in batches:
             for text, wanted in zip(batch["text"], batch["wanted"]):
-                own = np.bincount(ngram_buckets(text), minlength=FEATURES) if text else 0
-                totals[0] += own
+                buckets, own = np.unique(ngram_buckets(text), return_counts=True)
+                totals[0][buckets] += own
                 if wanted:
-                    totals[1] += own
+                    totals[1][buckets] += own
         some = np.flatnonzero(totals[0])
         yield pd.DataFrame({"bucket": some, "raw": totals[0][some], "target": totals[1][some]})
 
