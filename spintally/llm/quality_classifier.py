@@ -1,19 +1,24 @@
 """Quality classifier by importance resampling of hashed n-grams.
 
-Two generative models are counted over hashed words and word pairs: one of the raw
+Two generative models are counted over words and word pairs: one of the raw
 text, from all documents, and one of the target, from documents labelled good and
-not toxic. A document's importance weight is the ratio of its probabilities under the
-two. Documents are drawn without replacement in proportion to their weights by
+not toxic. Counts are a table of 64-bit n-gram hashes, which grows with the corpus. An n-gram's
+log ratio compares its count in the target with the one that the raw text lets expect; both get ``SHRINK``,
+so n-grams that are seen seldom tell little. A document's log weight is the sum over its n-grams; its text is one passage.
+Documents are drawn without replacement in proportion to their weights by
 Gumbel top-k: each log weight gets Gumbel noise, and the ``k`` largest are kept.
 ``k`` is the number of documents that weigh as much as all but the lightest
 hundredth of the target's.
 
 A document's own n-grams are taken out of both models before it is weighed, so that
-documents of the target weigh no more than others like them. Log weights are taken per n-gram and scaled to a text of ``CHUNK`` n-grams, so that texts
-compete as passages of one length; a text of few n-grams counts towards an average one
-by ``PRIOR`` of them. The target's documents are a bounded sample, the first
+documents of the target weigh no more than others like them, and n-grams of one document only
+have log ratio 0. The target's documents are a bounded sample, the first
 ``TARGET_DOCS`` labelled ids by a hash; all documents are counted and scored. Noise
-comes from a digest of the seed and the id, so reruns agree.
+comes from a digest of the seed and the id, so reruns agree; log ratios are summed as whole
+numbers of ``UNIT``, so their order does not matter.
+
+N-grams that more than one in ``COMMON`` documents has are looked up inside tasks; there are at most ``COMMON`` times
+a document's mean number of them. The others are joined with the table.
 
 The k-th largest key is found from histograms of a few thousand bins that narrow down, never
 by sorting all keys in one place.
@@ -29,25 +34,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spintally.llm.text import hashed, rolling, spaced_tokens
+from spintally.llm.text import hashed, rolling, signed, spaced_tokens
 from spintally.sources.scratch import kept
 
-FEATURES = 1 << 18
-SMOOTHING = 1000.0
+SHRINK = 16.0
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
-CHUNK = 256
-PRIOR = 16
+COMMON = 1000
+COUNT_AT_ONCE = 1 << 20
+UNIT = 2.0**-20
+ALL = 0  # stands for all n-grams in the table
 SEED = "quality-1"
 BINS = 4096
 
 
-def ngram_buckets(text: str | None) -> np.ndarray:
+def passage_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams, each kind for itself, and the passage that each starts in."""
     words = hashed(spaced_tokens(text))
-    return (np.concatenate([rolling(words, 1), rolling(words, 2)]) % np.uint64(FEATURES)).astype(np.int64)
+    kinds = [rolling(words, 1), rolling(words, 2)]
+    # Adding a number of its own to each kind keeps words and pairs apart.
+    grams = signed(np.concatenate([kind + np.uint64(i) for i, kind in enumerate(kinds)]))
+    grams[grams == ALL] = 1
+    return grams, np.zeros(len(grams), np.int64)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -57,41 +69,114 @@ def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def model_counts(marked: DataFrame) -> DataFrame:
-    """``bucket`` with its counts in ``raw`` text and in the ``target`` documents."""
+    """``gram`` with its number of ``docs`` and its counts in ``raw`` text and in the ``target``; ``ALL`` has the sums."""
+
+    def summed(grams: list, own: list, wanted: list) -> pd.DataFrame:
+        known, place = np.unique(np.concatenate(grams), return_inverse=True)
+        raw = np.concatenate(own)
+        target = raw * np.repeat(wanted, [len(some) for some in own])
+        sums = [np.bincount(place, x, len(known)).astype(np.int64) for x in (np.ones(len(raw)), raw, target)]
+        columns = [known, *sums]
+        everything = [ALL, len(grams), raw.sum(), target.sum()]
+        return pd.DataFrame({n: np.append(x, y) for n, x, y in zip(("gram", "docs", "raw", "target"), columns, everything)})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((2, FEATURES), np.int64)
+        grams, own, wanted, held = [], [], [], 0
+        for batch in batches:
+            for text, good in zip(batch["text"], batch["wanted"]):
+                some, times = np.unique(passage_grams(text)[0], return_counts=True)
+                grams.append(some)
+                own.append(times)
+                wanted.append(bool(good))
+                held += len(some)
+                if held >= COUNT_AT_ONCE:
+                    yield summed(grams, own, wanted)
+                    grams, own, wanted, held = [], [], [], 0
+        if grams:
+            yield summed(grams, own, wanted)
+
+    found = marked.select("text", "wanted").mapInPandas(count, "gram bigint, docs bigint, raw bigint, target bigint")
+    return found.groupBy("gram").agg(*[F.sum(name).alias(name) for name in ("docs", "raw", "target")])
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, rate: float) -> np.ndarray:
+    """Whole numbers of ``UNIT``."""
+    return np.rint(np.log((target + SHRINK) / (raw * rate + SHRINK)) / UNIT)
+
+
+def passage_rows(marked: DataFrame, common: pd.DataFrame, rate: float) -> DataFrame:
+    """A row a passage with the sum over its ``common`` n-grams, and one for each other n-gram in it.
+
+    ``here`` is an n-gram's count in the passage, 0 for a passage's own row, and ``own`` that in the document.
+    """
+    common = common.sort_values("gram")
+    shared = marked.sparkSession.sparkContext.broadcast([common[name].to_numpy() for name in ("gram", "raw", "target")])
+    kind = marked.schema["doc_id"].dataType.simpleString()
+    columns = ("doc_id", "doc", "wanted", "passage", "gram", "here", "own", "part")
+
+    def rows(doc_id: object, text: str | None, wanted: bool, known: list) -> pd.DataFrame:
+        grams, passages = passage_grams(text)
+        some, place, own = np.unique(grams, return_inverse=True, return_counts=True)
+        pairs, here = np.unique(passages * max(len(some), 1) + place, return_counts=True)
+        passage, place = np.divmod(pairs, max(len(some), 1))
+        at = np.minimum(np.searchsorted(known[0], some), max(len(known[0]) - 1, 0))
+        inside = known[0][at] == some if len(known[0]) else np.zeros(len(some), bool)
+        ratio = np.zeros(len(some))
+        ratio[inside] = log_ratios(known[1][at[inside]] - own[inside], known[2][at[inside]] - own[inside] * wanted, rate)
+        n = int(passages.max(initial=0)) + 1
+        part = np.bincount(passage, here * ratio[place], n).astype(np.int64)
+        rare = ~inside[place]
+        doc = np.uint64(xxhash.xxh3_64_intdigest((text or "").encode())).astype(np.int64)
+        # A passage's own row may go to any task: it takes part in the join with a count of 0.
+        spread = signed(hashed([b"%d %d" % (doc, i) for i in range(n)]))
+        zeros = np.zeros(rare.sum(), np.int64)
+        out = {
+            "passage": np.append(np.arange(n), passage[rare]),
+            "gram": np.append(spread, some[place[rare]]),
+            "here": np.append(np.zeros(n, np.int64), here[rare]),
+            "own": np.append(np.zeros(n, np.int64), own[place[rare]]),
+            "part": np.append(part, zeros),
+        }
+        return pd.DataFrame(out).assign(doc_id=doc_id, doc=doc, wanted=wanted)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text, wanted in zip(batch["text"], batch["wanted"]):
-                buckets, own = np.unique(ngram_buckets(text), return_counts=True)
-                totals[0][buckets] += own
-                if wanted:
-                    totals[1][buckets] += own
-        some = np.flatnonzero(totals[0])
-        yield pd.DataFrame({"bucket": some, "raw": totals[0][some], "target": totals[1][some]})
-
-    found = marked.select("text", "wanted").mapInPandas(count, "bucket int, raw bigint, target bigint")
-    return found.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-
-
-def count_tables(counts: pd.DataFrame) -> np.ndarray:
-    """Counts by bucket, of the raw text and of the target."""
-    table = np.zeros((2, FEATURES))
-    table[:, counts["bucket"]] = counts["raw"], counts["target"]
-    return table
-
-
-def log_weight(text: str | None, in_target: bool, table: np.ndarray) -> float:
-    """Log ratio of the models, neither of which has seen this text, scaled to a chunk."""
-    buckets, own = np.unique(ngram_buckets(text), return_counts=True)
-    total = own.sum()
-    if not total or not table[1].sum():
-        return 0.0
-    raw, target = table[0][buckets] - own, table[1][buckets] - own * in_target
-    raw = (raw + 1) / (table[0].sum() - total + FEATURES)
-    # The target is smoothed by the raw model.
-    target = (target + SMOOTHING * raw) / (table[1].sum() - total * in_target + SMOOTHING)
-    return float(CHUNK * (own * (np.log(target) - np.log(raw))).sum() / (total + PRIOR))
+            ids = batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None)
+            held, size = [], 0
+            for doc_id, text, wanted in zip(ids, batch["text"], batch["wanted"]):
+                held.append(rows(doc_id, text, bool(wanted), shared.value))
+                size += len(held[-1])
+                if size >= COUNT_AT_ONCE // 8:
+                    yield pd.concat(held)[list(columns)]
+                    held, size = [], 0
+            if held:
+                yield pd.concat(held)[list(columns)]
+
+    schema = f"doc_id {kind}, doc bigint, wanted boolean, passage int, gram bigint, here int, own int, part bigint"
+    return marked.select("doc_id", "text", "wanted").mapInPandas(deal, schema)
+
+
+def weights(marked: DataFrame) -> DataFrame:
+    """Every document's ``log_weight``, by models that have not seen it."""
+    counts = kept(model_counts(marked).filter(f"docs > 1 or gram = {ALL}"), "grams")
+    whole = counts.filter(F.col("gram") == ALL).first()
+    rate = whole.target / whole.raw if whole and whole.raw else 0.0
+    often = (whole.docs if whole else 0) / COMMON
+    grams = counts.filter(F.col("gram") != ALL)
+    common = grams.filter(F.col("docs") > often).toPandas()  # bounded: see above
+    rest = grams.filter(F.col("docs") <= often).select("gram", "raw", "target")
+    joined = passage_rows(marked, common, rate).join(rest, "gram", "left").filter("here = 0 or raw is not null")
+    own = F.when(F.col("wanted"), F.col("own")).otherwise(0)
+    ratio = F.log((F.col("target") - own + SHRINK) / ((F.col("raw") - F.col("own")) * rate + SHRINK))
+    score = F.col("part") + F.coalesce(F.rint(ratio / UNIT).cast("bigint"), F.lit(0)) * F.col("here")
+    passages = joined.groupBy("doc_id", "doc", "wanted", "passage").agg(
+        F.sum(score).alias("score"), F.sum(F.when(F.col("here") == 0, 1)).alias("copies")
+    )
+    # Rows alike in id and text were summed as one.
+    found = passages.groupBy("doc_id", "doc", "wanted").agg(
+        F.min(F.col("score") / F.col("copies") * UNIT).alias("log_weight"), F.max("copies").alias("copies")
+    )
+    return found.select("doc_id", "wanted", "log_weight", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> float:
@@ -128,17 +213,10 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     target = target.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS)
     target = kept(target, "target")
     marked = _marked(docs, target)
-    table = count_tables(model_counts(marked).toPandas())  # a row a bucket
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("double")
-    def weight(texts: pd.Series, in_target: pd.Series) -> pd.Series:
-        return pd.Series([log_weight(*row, shared.value) for row in zip(texts, in_target)], dtype=float)
-
-    scored = marked.select("doc_id", weight("text", "wanted").alias("log_weight"))
-    scored = kept(scored.withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"))), "weights")
-    own = scored.join(F.broadcast(target), "doc_id", "left_semi").agg(F.percentile("log_weight", F.lit(LIGHTEST)))
-    lightest = own.first()[0]  # over TARGET_DOCS at most
+    scored = kept(weights(marked).withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"))), "weights")
+    own = scored.filter("wanted")
+    n = own.count()
+    lightest = kth_largest(own, "log_weight", n - int(LIGHTEST * (n - 1))) if n else None
     k = scored.count() if lightest is None else scored.filter(F.col("log_weight") >= lightest).count()
     least = kth_largest(scored, "key", k) if k else float("inf")
     return scored.select("doc_id", "log_weight", "key", (F.col("key") >= F.lit(least)).alias("kept"))

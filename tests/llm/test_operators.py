@@ -314,6 +314,22 @@ def test_kth_largest(spark, k):
     assert quality_classifier.kth_largest(df, "x", k) == sorted(values, reverse=True)[k - 1]
 
 
+def test_classifier_counts_more_ngrams_than_any_fixed_table(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(i * 5000, i * 5000 + 5001)), i % 2 == 0) for i in range(60)]
+    marked = spark.createDataFrame(rows, "doc_id bigint, text string, wanted boolean")
+    words, pairs, docs = Counter(), Counter(), Counter()
+    for _, text, _ in rows:
+        some = text.split()
+        words.update(some)
+        pairs.update(zip(some, some[1:]))
+        docs.update(set(some))
+    found = quality_classifier.model_counts(marked).filter("gram <> 0")
+    kinds = 1
+    assert found.count() == kinds * len(words) + len(pairs)
+    assert found.filter("docs = 2").count() == kinds * sum(n == 2 for n in docs.values())
+    assert found.agg(F.sum("raw")).first()[0] == kinds * words.total() + pairs.total()
+
+
 # --- 9: Jaccard join ---------------------------------------------------------------
 
 
