@@ -1,10 +1,11 @@
 """Quality classifier by importance resampling of hashed n-grams.
 
-Two generative models are counted over words and word pairs: one of the raw
+Two generative models are counted over words, word pairs and words without case and punctuation: one of the raw
 text, from all documents, and one of the target, from documents labelled good and
 not toxic. Counts are a table of 64-bit n-gram hashes, which grows with the corpus. An n-gram's
 log ratio compares its count in the target with the one that the raw text lets expect; both get ``SHRINK``,
-so n-grams that are seen seldom tell little. A document's log weight is the sum over its n-grams; its text is one passage.
+so n-grams that are seen seldom tell little. A text is cut into passages of ``CHUNK`` words and pairs, none left
+out; a passage's log weight is the sum over its n-grams, and a document's is that of its worst passage.
 Documents are drawn without replacement in proportion to their weights by
 Gumbel top-k: each log weight gets Gumbel noise, and the ``k`` largest are kept.
 ``k`` is the number of documents that weigh as much as all but the lightest
@@ -38,12 +39,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spintally.llm.text import hashed, rolling, signed, spaced_tokens
+from spintally.llm.text import hashed, letter_tokens, rolling, signed, spaced_tokens
 from spintally.sources.scratch import kept
 
 SHRINK = 16.0
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
+CHUNK = 256
 COMMON = 1000
 COUNT_AT_ONCE = 1 << 20
 UNIT = 2.0**-20
@@ -54,12 +56,17 @@ BINS = 4096
 
 def passage_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams, each kind for itself, and the passage that each starts in."""
-    words = hashed(spaced_tokens(text))
-    kinds = [rolling(words, 1), rolling(words, 2)]
-    # Adding a number of its own to each kind keeps words and pairs apart.
+    tokens, size = spaced_tokens(text), CHUNK // 2
+    words = hashed(tokens)
+    letters = [letter_tokens(b" ".join(tokens[i : i + size]).decode()) for i in range(0, len(tokens), size)]
+    plain = hashed([word for some in letters for word in some])
+    kinds = [rolling(words, 1), rolling(words, 2), rolling(plain, 1)]
+    at = [np.arange(len(kind)) // size for kind in kinds[:2]]
+    at.append(np.repeat(np.arange(len(letters)), [len(some) for some in letters]))
+    # Adding a number of its own to each kind keeps words, pairs and plain words apart.
     grams = signed(np.concatenate([kind + np.uint64(i) for i, kind in enumerate(kinds)]))
     grams[grams == ALL] = 1
-    return grams, np.zeros(len(grams), np.int64)
+    return grams, np.concatenate(at).astype(np.int64)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:

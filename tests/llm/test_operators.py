@@ -324,12 +324,63 @@ def test_classifier_counts_more_ngrams_than_any_fixed_table(spark):
         pairs.update(zip(some, some[1:]))
         docs.update(set(some))
     found = quality_classifier.model_counts(marked).filter("gram <> 0")
-    kinds = 1
+    kinds = 2  # as they are, and without case and punctuation
     assert found.count() == kinds * len(words) + len(pairs)
     assert found.filter("docs = 2").count() == kinds * sum(n == 2 for n in docs.values())
     assert found.agg(F.sum("raw")).first()[0] == kinds * words.total() + pairs.total()
 
 
+def plain_log_weights(rows, wanted):
+    """Worst passages by strings, without hashes."""
+    size = quality_classifier.CHUNK // 2
+
+    def grams(text):
+        words = (text or "").split()
+        for i, word in enumerate(words):
+            yield i // size, (word,)
+            if i + 1 < len(words):
+                yield i // size, (word, words[i + 1])
+            for plain_word in "".join(c if c.isalnum() else " " for c in word.lower()).split():
+                yield i // size, ("plain", plain_word, 0)
+
+    own = [Counter(g for _, g in grams(text)) for _, text in rows]
+    raw = sum(own, Counter())
+    target = sum((c for c, (i, _) in zip(own, rows) if i in wanted), Counter())
+    rate, more = target.total() / raw.total(), quality_classifier.SHRINK
+    for (i, text), mine in zip(rows, own):
+        passages = Counter({0: 0.0})
+        for at, g in grams(text):
+            left = target[g] - mine[g] * (i in wanted)
+            passages[at] += np.log((left + more) / ((raw[g] - mine[g]) * rate + more))
+        yield i, min(passages.values())
+
+
+def test_classifier_weighs_the_worst_passage(spark):
+    rng = np.random.default_rng(8)
+    usual = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(400):
+        some = list(rng.choice(usual, 1500 if i % 2 else 150))
+        if i % 8 < 2:
+            for word in ("idiot", "Idiot,", "clown.", "clown"):
+                some[int(rng.integers(100, 120))] = word
+        rows.append((i, " ".join(some)))
+    rows += [rows[9], rows[9], (None, rows[3][1]), (1000, None), (1001, "")]
+    labels = [(i, 1, int(i % 8 < 2)) for i in range(0, 400) if i % 3]
+    found = quality_classifier.report(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    ).collect()
+    wanted = {i for i, _, toxic in labels if not toxic}
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.log_weight) for r in found)
+    right = sorted((i is None, i or 0, w) for i, w in plain_log_weights(rows, wanted))
+    assert [g[:2] for g in got] == [r[:2] for r in right]
+    assert max(abs(g[2] - r[2]) for g, r in zip(got, right)) < 0.01
+    for long in (0, 1):
+        bad = [r.kept for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id % 8 == long]
+        good = [r.kept for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id % 8 > 1 and r.doc_id % 2 == long]
+        assert sum(bad) <= 0.1 * len(bad) and sum(good) >= 0.9 * len(good)
+
+
 # --- 9: Jaccard join ---------------------------------------------------------------
 
 
