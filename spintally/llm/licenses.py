@@ -4,7 +4,8 @@ Texts are compared as their words, in small letters with one space between. A ph
 counts wherever its words stand one after the other. A notice of ``k`` allowed
 edits is cut into ``k + 1`` pieces, of which an occurrence within ``k`` edits must
 hold one unchanged; where a piece is found, the ``regex`` library matches the
-notice around it with bounded errors, and tells the span and the number of edits.
+notice around it with bounded errors, and tells the span and the number of edits. It gives the
+best match of a stretch, so what lies before and after a match is searched again, until none is left.
 
 Cases: a NULL or empty text has no words, no labels and score 0. Overlapping
 places of a phrase all count. Repeated rows are judged alike. Empty tables give
@@ -75,12 +76,18 @@ class Notice:
         return joined
 
     def matches(self, text: bytes) -> list[tuple[int, int, int]]:
-        """Start, end and number of edits of each match."""
+        """Start, end and number of edits of matches that do not overlap; none fits between them."""
         found = []
         for start, end in self.regions(text):
-            for m in self.pattern.finditer(text, start, min(end, len(text))):
-                found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-        return found
+            left = [(start, min(end, len(text)))]
+            while left:
+                start, end = left.pop()
+                m = self.pattern.search(text, start, end)
+                # The best match may have others on either side.
+                if m:
+                    found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                    left += [(start, m.start()), (m.end(), end)]
+        return sorted(found)
 
 
 def phrase_places(spaced: bytes, phrase: bytes) -> list[int]:

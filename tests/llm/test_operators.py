@@ -464,3 +464,38 @@ def test_fuzzy_notices_find_all_within_the_edits():
         text = f"before it {''.join(letters)} and after".encode()
         assert any(edits <= notice.edits for _, _, edits in notice.matches(text)), text
     assert not notice.matches(b"nothing of that kind is written here at all")
+
+
+def fewest_edits(sought: bytes, text: bytes) -> int:
+    """Of any part of the text to what is sought, by dynamic programming."""
+    row = [0] * (len(text) + 1)
+    for i, letter in enumerate(sought):
+        new = [i + 1]
+        for j, other in enumerate(text):
+            new.append(min(row[j] + (letter != other), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_notices_side_by_side_are_all_found():
+    notice = licenses.Notice("permission is hereby granted free of charge", "mit")
+    two = b" permission is herby grantd free of charge x permission is hereby granted free of charge "
+    assert [edits for _, _, edits in notice.matches(two)] == [2, 0]
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        copies = []
+        for _ in range(int(rng.integers(2, 5))):
+            letters = list(notice.text)
+            for _ in range(int(rng.integers(0, notice.edits + 1))):
+                letters[int(rng.integers(len(letters)))] = ["", "q", "ab"][int(rng.integers(3))]
+            copies.append("".join(letters))
+        text = (" " + " or "[: int(rng.integers(1, 5))].join(copies) + " ").encode()
+        found = notice.matches(text)
+        ends = [0, *[at for start, end, _ in found for at in (start, end)], len(text)]
+        assert all(a <= b for a, b in zip(ends, ends[1:]))
+        for start, end, edits in found:
+            assert edits <= notice.edits
+            assert fewest_edits(notice.text.encode(), text[start:end]) <= edits
+        # Between the matches nothing comes within the edits.
+        for start, end in zip(ends[::2], ends[1::2]):
+            assert fewest_edits(notice.text.encode(), text[start:end]) > notice.edits, text
