@@ -94,16 +94,17 @@ def _take(plan: DataFrame, last: bool) -> DataFrame:
     before = F.sum("sum").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
     cells = _marked(kept(cells, "cells"), "source", "bucket")
-    joined = plan.join(cells, _same("source", "bucket"), "left").drop("_source", "_bucket")
-    ordered = Window.partitionBy("source", "bucket", "fits").orderBy("key", "doc_id", "size")
+    # Only rows that fit are ordered: a source may have none that does.
+    joined = plan.filter("fits").join(cells, _same("source", "bucket")).drop("_source", "_bucket")
+    ordered = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
     within = F.sum("words").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    takes = F.col("fits") & (F.col("before") + within - over <= F.col("open") - F.col("filled"))
-    joined = joined.withColumn("takes", F.coalesce(takes, F.lit(False)))
-    return joined.withColumn("extra", F.col("extra") | F.col("takes")).drop("filled", "fits", "before", "takes")
+    takes = F.col("before") + within - over <= F.col("open") - F.col("filled")
+    joined = joined.withColumn("extra", takes).select(plan.columns)
+    return joined.unionByName(plan.filter("not coalesce(fits, false)")).drop("filled", "fits")
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
-    """One row per id, source and size: ``rows``, ``copies`` of each, ``source_size``, ``target``."""
+def dealt(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
+    """One row per id, source and size, with its ``key`` and the ``bucket`` that it falls into."""
     sized = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"))
     sized = kept(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
     sizes = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
@@ -118,9 +119,15 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED)
     chance = F.col("times") - F.col("whole")
     key = F.when(chance > 0, (random / (1 - random)) / (chance / (1 - chance)))
     df = df.withColumn("key", key).withColumn("open", F.col("target") - F.col("whole") * F.col("source_size"))
-    bucket = F.floor(F.col("key") / (1 + F.col("key")) * BUCKETS).cast("int")
-    df = df.withColumn("bucket", F.coalesce(bucket, F.lit(0))).withColumn("extra", F.lit(False))
-    df = df.withColumn("open", F.when(F.col("key").isNull(), F.lit(0.0)).otherwise(F.col("open")))
+    # The random number has the order of the key within a source, and is uniform whatever the chance.
+    bucket = F.least(F.floor(random * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    df = df.withColumn("bucket", bucket).withColumn("extra", F.lit(False))
+    return df.withColumn("open", F.when(F.col("key").isNull(), F.lit(0.0)).otherwise(F.col("open")))
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
+    """One row per id, source and size: ``rows``, ``copies`` of each, ``source_size``, ``target``."""
+    df = dealt(docs, weights, seed)
     for turn in range(1, ROUNDS + 1):
         df = kept(_take(df, turn == ROUNDS), "taken")
     copies = F.col("whole") + F.col("extra").cast("bigint")

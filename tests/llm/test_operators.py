@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spintally.llm import (
@@ -182,6 +183,16 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(plain_targets(sizes))
 
 
+def test_mix_deals_every_source_over_its_buckets(spark):
+    """A lone source has no key at all; beside another one, chances come near 0 or 1."""
+    for rows in ([(i, "a b", "a") for i in range(4000)], [(i, "a b", "a" if i < 4000 else "b") for i in range(4020)]):
+        df = mixing.dealt(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+        assert df.groupBy("source", "bucket").count().agg(F.max("count")).first()[0] < 40
+        bounds = Window.partitionBy("source").orderBy("bucket")
+        ends = df.filter("key is not null").groupBy("source", "bucket").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+        assert ends.withColumn("before", F.max("most").over(bounds.rowsBetween(Window.unboundedPreceding, -1))).filter("before > least").isEmpty()
+
+
 # --- 4: substrings -------------------------------------------------------------
 
 
