@@ -1,11 +1,10 @@
-"""Substring dedup by parsing documents relative to all earlier text.
-
-The reference is the corpus itself, up to the place at hand. It is indexed by its
-windows of ``WINDOW`` words, and the index is dealt out in blocks by the windows'
-hashes. A document is parsed greedily: a factor is as long a run of consecutive
-windows as occur earlier, in any block. Windows across the boundary of two factors
-are looked up as all others, so a repeat that a greedy parse would cut is found too. Words in a
-factor, which has at least ``WINDOW`` words, are removed.
+"""Substring dedup by a join of windows with their first places in the corpus.
+
+A window-hash join replaces the parse of a document relative to reference blocks: no longest match is
+extended and no greedy step is taken. Every window of ``WINDOW`` words that occurs earlier, in order of documents
+and places, is found by its hash, and all its words are removed. So what a greedy parse would cut at
+the boundary of two factors is found too. ``factors`` are the runs of removed words, without the places they
+were copied from.
 
 Most windows occur once, and are never indexed. Each window has a seed, the least
 hash of its runs of ``SEED`` words; equal windows have equal seeds, and windows side by
