@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spintally.llm import decontamination, quality_rules
+from spintally.llm import decontamination, filter_audit, quality_rules
 from spintally.llm.text import UPPER
 
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -136,10 +136,61 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM split JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
 
 
+def _filter_audit() -> str:
+    audit = filter_audit
+    letter = lambda at: f"substr(filter_order, {at}, 1)"
+    fails = lambda which: f"(mask >> (ascii({which}) - 65)) & 1"
+    earlier = " + ".join(f"CASE WHEN step > {at} THEN {fails(letter(at))} ELSE 0 END" for at in range(1, 5))
+    total = lambda condition, what="n": f"CAST(coalesce(sum({what}) FILTER ({condition}), 0) AS BIGINT)"
+    return rf"""WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body, {_SPACED} AS words FROM documents
+), tags AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CAST(len(words) < {audit.MIN_WORDS} AS INT)
+    + 2 * CAST(100 * len(list_distinct(words)) < {audit.MIN_DISTINCT} * len(words) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > {audit.MAX_CAPITALS} * length(body) AS INT)
+    + 8 * CAST(regexp_matches(body, '{audit.SYMBOLS}') AS INT)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS INT) AS mask
+  FROM split LEFT JOIN tags USING (doc_id)
+), sets AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS one
+), orders AS (
+  SELECT a.one || b.one || c.one || d.one || e.one AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.one, b.one, c.one, d.one, e.one])) = 5
+), states AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter, n, good, toxic, mask = 1 << (ascii({letter("step")}) - 65) AS alone,
+    {fails(letter("step"))} AS fails, {earlier} AS gone
+  FROM sets, orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), steps AS (
+  SELECT part, filter_order, step, filter, {total("fails = 0 AND gone = 0")} AS kept, {total("fails = 1 AND gone = 0")} AS removed,
+    {total("fails = 1 AND gone > 0")} AS redundant, {total("alone")} AS unique_fails,
+    {total("fails = 1 AND gone = 0", "good")} AS good_lost, {total("fails = 1 AND gone = 0", "toxic")} AS toxic_lost
+  FROM states GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM steps"""
+
+
+def _exact_dedup() -> str:
+    return r"""WITH own AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+  n = first_value(n) OVER best AND doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER best AS kept, sha256(body) AS text_sha256
+FROM own WINDOW best AS (PARTITION BY body ORDER BY n DESC, doc_id NULLS LAST)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _quality_rules(),
         "op4_substring_dedup": _substring_dedup(),
         "op5_benchmark_decontamination": _decontamination(),
         "op9_jaccard_join": _jaccard_join(),
+        "op11_filter_audit": _filter_audit(),
+        "op13_exact_dedup": _exact_dedup(),
     }

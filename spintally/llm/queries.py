@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spintally.llm import (
     decontamination,
+    exact_dedup,
+    filter_audit,
     jaccard_join,
     licenses,
     mixing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secrets,
@@ -45,6 +48,10 @@ def resampled(spark: SparkSession, sf: str) -> DataFrame:
     return quality_classifier.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def audited(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": _over_documents(lambda docs: quality_rules.judge(docs).drop(*_THRESHOLDS)),
@@ -57,4 +64,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": resampled,
         "op9_jaccard_join": _over_documents(jaccard_join.report),
         "op10_license_scan": _over_documents(licenses.report),
+        "op11_filter_audit": audited,
+        "op12_periodic_runs": _over_documents(periodic_runs.report),
+        "op13_exact_dedup": _over_documents(exact_dedup.judge),
     }
