@@ -5,21 +5,24 @@
 A source is a database, or a folder, that holds the two raw tables. Several
 named sources share one set of target tables keyed by tenant; a single source
 without a name gets targets without that key. Sources fail apart: one that cannot
-be read is left out, and if the joint job fails, each source is refreshed on its
-own. The others are up to date when the run ends with an error that names the
-failed ones, and ``--only`` runs these again.
+be read, or whose money has another type than the stored rows, is left out, and if
+the joint job fails, halves of the sources are refreshed until the failing ones are found. The others are up
+to date when the run ends with an error that names the failed ones, and ``--only`` runs these
+again. An error of the targets, which no source caused, ends the run at once.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections import Counter
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spintally.functions.buckets import UTC
 from spintally.plans.refresh import Events, Starts, default_targets, refresh_all
-from spintally.schema import FLOOR_TABLE, SESSION_TABLE
+from spintally.plans.targets import Target, TargetError
+from spintally.schema import BUDGET_COLUMN, FLOOR_TABLE, MONEY_COLUMNS, SESSION_TABLE
 from spintally.sources.sessions import is_path, read_sessions, session_table
 from spintally.sources.tenants import TENANT, matching, read_tenants
 
@@ -85,21 +88,25 @@ def run(
     def together(names: Collection[str]) -> dict[str, Starts]:
         return refreshed(*({n: frames[n][i] for n in names} for i in range(len(RAW_TABLES))))
 
-    plans: dict[str, Starts] = {}
     if frames:
+        failed |= (refused := other_money(spark, chosen, frames))
+        frames = {name: own for name, own in frames.items() if name not in refused}
+    plans: dict[str, Starts] = {}
+    groups = [list(frames)] if frames else []
+    while groups:
+        names = groups.pop()
         try:
-            plans = together(frames)
+            done = together(names)
+        except TargetError:
+            raise
         except Exception as error:  # noqa: BLE001
-            if len(frames) == 1:
-                failed |= dict.fromkeys(frames, error)
+            if len(names) == 1:
+                failed[names[0]] = error
             else:
-                plans = {name: {} for name in chosen}
-                for name in frames:
-                    try:
-                        for rollup, starts in together([name]).items():
-                            plans[rollup] |= starts
-                    except Exception as own:  # noqa: BLE001
-                        failed[name] = own
+                groups += [names[len(names) // 2 :], names[: len(names) // 2]]
+            continue
+        for rollup, starts in done.items():
+            plans.setdefault(rollup, {}).update(starts)
     if failed:
         raise ExceptionGroup(f"sources failed: {', '.join(failed)}", list(failed.values()))
     if not frames:
@@ -107,6 +114,25 @@ def run(
     return plans
 
 
+def other_money(
+    spark: SparkSession, targets: Mapping[str, Target], frames: Mapping[str, list[DataFrame]]
+) -> dict[str, Exception]:
+    """Sources whose money has another type than the stored rows, or than most sources; schemas alone tell."""
+    held = {target.look(spark).money for target in targets.values()} - {None}
+    if len(held) > 1:
+        raise TargetError(f"the rollups hold money of several types: {', '.join(sorted(held))}")
+    own = {name: {tuple(frame.select(*MONEY_COLUMNS).dtypes) for frame in pair} for name, pair in frames.items()}
+    kinds = Counter(kind for some in own.values() for kind in some)
+    fitting = [kind for kind, _ in kinds.most_common() if not held or dict(kind)[BUDGET_COLUMN] in held]
+    if not fitting:
+        raise TargetError(f"the rollups hold money as {', '.join(held)}, and every source has another type")
+    return {
+        name: TypeError(f"{name} has money of other types than {dict(fitting[0])}")
+        for name, some in own.items()
+        if some != {fitting[0]}
+    }
+
+
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Refresh the session rollups.")
     parser.add_argument("sources", nargs="+", help="database or folder, or name=database for each tenant")

@@ -24,7 +24,7 @@ from spintally.functions.buckets import UTC, format_label, parse_label
 from spintally.operators.rows import BUCKET, compact, event_rows, to_days
 from spintally.operators.slices import since_slice
 from spintally.plans.rollups import MODELS, roll_rows
-from spintally.plans.targets import DAY_FOLDER, Target
+from spintally.plans.targets import DAY_FOLDER, Snapshot, Target
 from spintally.schema import FLOOR_TABLE
 from spintally.sources.scratch import written_once
 from spintally.sources.sessions import is_path
@@ -48,17 +48,21 @@ def session_of(events: Events) -> SparkSession:
 
 
 def find_starts(
-    events: Events, target: Target, lookback: int = 0, since: str | None = None
+    events: Events,
+    target: Target,
+    lookback: int = 0,
+    since: str | None = None,
+    seen: Snapshot | None = None,
 ) -> Starts:
     """First bucket to work out again, ``lookback`` buckets before the newest stored one.
 
-    ``since`` stands in for the newest stored bucket.
+    ``since`` stands in for the newest stored bucket. ``seen`` is what the target holds.
     """
     names = [None] if isinstance(events, DataFrame) else list(events)
     if (names == [None]) == (TENANT in target.by):
         raise ValueError(f"events by tenant and a target keyed by {TENANT!r} go together")
-    spark = session_of(events)
-    newest = target.newest(spark) if since is None else dict.fromkeys(names, since)
+    seen = seen or target.look(session_of(events))
+    newest = seen.newest() if since is None else dict.fromkeys(names, since)
     grain = target.grain
     starts = {
         name: format_label(parse_label(newest[name], grain, back=lookback), grain)
@@ -66,10 +70,11 @@ def find_starts(
         else None
         for name in names
     }
-    # A commit that was cut off is done again from where it began.
-    for name, label in target.cut_off(spark).items():
-        if starts.get(name) is not None:
-            starts[name] = label and min(label, starts[name])
+    # A commit that was cut off is done again from where it began; one of the whole target, for all tenants.
+    for noted, label in seen.notes.items():
+        for name in starts if noted is None else [noted]:
+            if starts.get(name) is not None:
+                starts[name] = label and min(label, starts[name])
     return starts
 
 
@@ -106,27 +111,32 @@ def refresh(
     Events that arrive later than that are not seen again unless ``lookback``
     reaches back to them, or ``since`` names an earlier bucket to start from.
     """
-    starts = find_starts(events, target, lookback, since)
+    seen = target.look(session_of(events))
+    starts = find_starts(events, target, lookback, since, seen)
     rows = event_rows(_slice(events, starts, target.grain, tz), target.grain, tz, target.by)
     rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
-    _swap(rolled, target, starts)
+    swap(rolled, seen, starts)
     return starts
 
 
-def _swap(rolled: DataFrame, target: Target, starts: Starts) -> None:
-    """Puts the buckets that were worked out again in the place of the stored ones."""
-    spark = rolled.sparkSession
-    target.check(rolled)
-    if not target.hours_share_folders:
-        target.upsert(rolled, checked=True)
+def swap(rolled: DataFrame, seen: Snapshot, starts: Starts) -> None:
+    """Puts the buckets that were worked out again in the place of the stored ones.
+
+    A day folder that also holds hours that were not worked out again is swapped whole, with these
+    hours. They are told from the result, which is then read twice, so it is written first.
+    """
+    target, spark = seen.target, rolled.sparkSession
+    seen.check(rolled)
+    target._create(rolled)
+    touched = _touched(seen, starts) if target.hours_share_folders else []
+    if not touched:
+        with target.committing(spark, starts):
+            target.upsert(rolled)
         return
     with written_once(rolled, "refreshed") as ready:
-        rows = with_other_hours(ready, target, starts)
-        # Before a first commit there is nothing that it could lose.
-        if target.partition_names(spark):
-            target.mark(spark, starts)
-        target.upsert(rows, checked=True)
-        target.unmark(spark)
+        rows = with_other_hours(ready, seen, touched)
+        with target.committing(spark, starts):
+            target.upsert(rows)
 
 
 def _by_tenant(df: DataFrame, values: Mapping[str | None, str | int | None], name: str) -> DataFrame:
@@ -141,22 +151,22 @@ def _by_tenant(df: DataFrame, values: Mapping[str | None, str | int | None], nam
     return df.join(F.broadcast(table), TENANT, "left")
 
 
-def with_other_hours(rolled: DataFrame, target: Target, starts: Starts) -> DataFrame:
+def _touched(seen: Snapshot, starts: Starts) -> list[dict[str, str | None]]:
+    """The stored day folders that a refresh from these starts may swap."""
+    days = {name: start[:10] for name, start in starts.items() if start is not None}
+    return [one for one in seen.partitions if (day := days.get(one.get(TENANT))) and one[DAY_FOLDER] >= day]
+
+
+def with_other_hours(rolled: DataFrame, seen: Snapshot, touched: list[dict[str, str | None]]) -> DataFrame:
     """Refreshed hours, and the stored hours that share a day folder with them.
 
-    A day folder is swapped whole, so hours of that day that were not worked out
-    again are carried over as they are: those before the start, and any later
-    one whose events the source no longer has.
+    Hours of that day that were not worked out again are carried over as they are: those
+    before the start, and any later one whose events the source no longer has.
     """
-    days = {name: start[:10] for name, start in starts.items() if start is not None}
-    stored = target.stored(rolled.sparkSession)
-    if not days or stored is None:
-        return rolled
-    # The first comparison is the one the reader can use to skip folders.
-    touched = _by_tenant(stored.filter(F.col(DAY_FOLDER) >= min(days.values())), days, "_first")
-    touched = touched.filter(F.col(DAY_FOLDER) >= F.col("_first")).select(*target.columns)
+    target = seen.target
     refreshed = rolled.select(*target.by, target.bucket).distinct()
-    others = touched.join(refreshed, [*target.by, target.bucket], "left_anti")
+    stored = seen.rows(touched).select(*target.columns)
+    others = stored.join(refreshed, [*target.by, target.bucket], "left_anti")
     return rolled.unionByName(others.select(*rolled.columns))
 
 
@@ -203,11 +213,12 @@ def refresh_all(
             continue
         events = floor_events if from_floor else session_events
         everything = dict.fromkeys([None] if isinstance(events, DataFrame) else events)
+        seen = {} if in_full else {name: t.look(session_of(events)) for name, t in chosen.items()}
         starts = {
-            name: everything if in_full else find_starts(events, target, lookback)
+            name: everything if in_full else find_starts(events, target, lookback, seen=seen[name])
             for name, target in chosen.items()
         }
-        _refresh_together(events, chosen, starts, in_full, tz, null_safe_totals)
+        _refresh_together(events, chosen, seen, starts, tz, null_safe_totals)
         plans |= starts
     return plans
 
@@ -237,11 +248,12 @@ def _from_start(rows: DataFrame, starts: Starts, grain: str) -> DataFrame:
 def _refresh_together(
     events: Events,
     targets: Mapping[str, Target],
+    seen: Mapping[str, Snapshot],
     starts: Mapping[str, Starts],
-    in_full: bool,
     tz: str,
     null_safe_totals: bool,
 ) -> None:
+    """Targets that ``seen`` has are refreshed, the others replaced in full."""
     by = next(iter(targets.values())).by
     if any(target.by != by for target in targets.values()):
         raise ValueError("targets refreshed together need the same leading keys")
@@ -249,10 +261,10 @@ def _refresh_together(
     def bring_up_to_date(name: str, rows: DataFrame) -> None:
         target = targets[name]
         rolled = roll_rows(rows, target.model, target.grain, by, null_safe_totals)
-        if in_full:
-            target.replace(rolled, None if isinstance(events, DataFrame) else list(events))
+        if name in seen:
+            swap(rolled, seen[name], starts[name])
         else:
-            _swap(rolled, target, starts[name])
+            target.replace(rolled, None if isinstance(events, DataFrame) else list(events))
 
     if len(targets) == 1:  # nothing to share
         [(name, target)] = targets.items()

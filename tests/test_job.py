@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import types as T
 
+from spintally import job
 from spintally.job import RAW_TABLES, parse, run
 from spintally.plans import rollups as R
 from spintally.plans.refresh import default_targets
+from spintally.plans.targets import TargetError
+from spintally.schema import MONEY_COLUMNS
 from tests.events import HOUR, NOON, event, rows, table
 
 
@@ -91,3 +96,42 @@ def test_a_rollup_can_have_a_place_of_its_own(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/apart/game_by_day").count() > 0
     assert Path(f"{tmp_path}/out/floor_by_day").exists()
     assert not Path(f"{tmp_path}/out/game_by_day").exists()
+
+
+def test_a_failing_source_is_found_by_halves(spark, tmp_path, monkeypatch):
+    """One broken file among 32 tenants costs about two joint runs a halving, not 32."""
+    for name in ("good", "broken"):
+        for raw in RAW_TABLES:
+            table(spark, [event()]).write.parquet(f"{tmp_path}/{name}/{raw}")
+    for file in Path(f"{tmp_path}/broken").rglob("part-*.parquet"):
+        whole = file.read_bytes()
+        file.write_bytes(whole[:4] + b"\xff" * 400 + whole[404:])  # the footer stays, so that only a job fails
+    sources = {f"t{i:02}": f"{tmp_path}/{'broken' if i == 13 else 'good'}" for i in range(32)}
+    runs = []
+    every = job.refresh_all
+    monkeypatch.setattr(job, "refresh_all", lambda events, *rest, **more: runs.append(len(events)) or every(events, *rest, **more))
+    with pytest.raises(ExceptionGroup, match="sources failed: t13$") as caught:
+        run(spark, sources, f"{tmp_path}/out", models=["floor_by_day"])
+    assert len(caught.value.exceptions) == 1
+    assert sorted(runs) == sorted([32, 16, 16, 8, 8, 4, 4, 2, 2, 1, 1])
+    stored = spark.read.parquet(f"{tmp_path}/out/floor_by_day")
+    assert {r.tenant for r in stored.select("tenant").collect()} == set(sources) - {"t13"}
+
+
+def test_money_of_another_type(spark, tmp_path, monkeypatch):
+    """A source that differs is left out without a run; targets that differ from all end the run at once."""
+    dear = dict.fromkeys(MONEY_COLUMNS, Decimal("1.25"))
+    for raw in RAW_TABLES:
+        table(spark, [event()]).write.parquet(f"{tmp_path}/whole/{raw}")
+        table(spark, [event(**dear)], T.DecimalType(18, 2)).write.parquet(f"{tmp_path}/dear/{raw}")
+    runs = []
+    every = job.refresh_all
+    monkeypatch.setattr(job, "refresh_all", lambda events, *rest, **more: runs.append(list(events)) or every(events, *rest, **more))
+    sources = {"a": f"{tmp_path}/whole", "b": f"{tmp_path}/whole", "c": f"{tmp_path}/dear"}
+    for _ in range(2):
+        with pytest.raises(ExceptionGroup, match="sources failed: c$"):
+            run(spark, sources, f"{tmp_path}/out", models=["floor_by_day"])
+    assert runs == [["a", "b"]] * 2
+    with pytest.raises(TargetError, match="every source"):
+        run(spark, {"c": sources["c"], "d": sources["c"]}, f"{tmp_path}/out", models=["floor_by_day"])
+    assert len(runs) == 2
