@@ -105,7 +105,8 @@ def test_a_failing_source_is_found_by_halves(spark, tmp_path, monkeypatch):
             table(spark, [event()]).write.parquet(f"{tmp_path}/{name}/{raw}")
     for file in Path(f"{tmp_path}/broken").rglob("part-*.parquet"):
         whole = file.read_bytes()
-        file.write_bytes(whole[:4] + b"\xff" * 400 + whole[404:])  # the footer stays, so that only a job fails
+        pages = len(whole) - 8 - int.from_bytes(whole[-8:-4], "little")
+        file.write_bytes(b"PAR1" + b"\xff" * (pages - 4) + whole[pages:])  # the footer stays, so that only a job fails
         file.with_name(f".{file.name}.crc").unlink()
     sources = {f"t{i:02}": f"{tmp_path}/{'broken' if i == 13 else 'good'}" for i in range(32)}
     runs = []
