@@ -167,6 +167,80 @@ def _later_half_of_first(sql: _Sql) -> str:
     return sql.query("SELECT * FROM combined")
 
 
+_WIDTH = {"hour": 3_600_000, "day": 86_400_000}
+
+
+def _number_label(grain: str, number: str = "number") -> str:
+    return f"strftime(make_timestamp({number} * {_WIDTH[grain]} * 1000), '%Y-%m-%d %H:00:00') AS {grain}_bucket"
+
+
+def _timed(model: str, last: str) -> str:
+    """SQL over ``kept``, the model's plays with their keys and time."""
+    keys = ", ".join(_KEYS[model])
+    return _src("").rstrip() + f""", plays AS (
+  SELECT playerCardNumber AS player_card_number, assetNumber AS asset_number, ess, gameId AS game_id,
+    devInfoGameTheme AS game_name, floorLocation AS floor_location, eventTime AS play_time, duration, maxCashableRisked AS budget
+  FROM src WHERE type = 'STUpdate'
+), kept AS (
+  SELECT {keys}, play_time, duration, budget{"" if "game_name" in keys else ", game_name"} FROM plays WHERE {_KEEP[model]}
+)
+{last}"""
+
+
+def _velocity(model: str, grain: str) -> str:
+    keys = ", ".join(_KEYS[model])
+    return _timed(model, f"""SELECT {_number_label(grain, f"(play_time // {_WIDTH[grain]})")}, {keys},
+  count(*) AS total_spins, count(gap) AS timed_plays, CAST(coalesce(sum(gap), 0) AS BIGINT) AS total_gap_ms,
+  {_ratio("sum(gap)", "count(gap)", "avg_gap_ms")}, min(gap) AS shortest_gap_ms, max(gap) AS longest_gap_ms, max(play_time) AS last_play_ms
+FROM (SELECT *, play_time - lag(play_time) OVER (PARTITION BY {keys} ORDER BY play_time) AS gap FROM kept) GROUP BY ALL""")
+
+
+def _occupancy(model: str, grain: str) -> str:
+    keys, width = ", ".join(_KEYS[model]), _WIDTH[grain]
+    return _timed(model, f"""SELECT {_number_label(grain)}, {keys}, CAST(sum(new) AS BIGINT) AS occupied_ms,
+  CAST(100 * sum(new) AS DOUBLE) / {width} AS occupancy_pct, max(stop) AS busy_until_ms
+FROM (
+  SELECT *, greatest(0, till - greatest(since, coalesce(max(till) OVER (
+    PARTITION BY {keys}, number ORDER BY since, till ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), since))) AS new
+  FROM (
+    SELECT *, greatest(play_time, number * {width}) AS since, least(stop, (number + 1) * {width}) AS till
+    FROM (SELECT *, play_time + duration * 1000 AS stop FROM kept WHERE duration > 0), unnest(range(play_time // {width}, (stop - 1) // {width} + 1)) AS r(number)
+  )
+) WHERE number <= (SELECT max(play_time) // {width} FROM kept WHERE duration > 0) GROUP BY ALL""")
+
+
+def _activity(model: str, grain: str, idle: int = 900_000) -> str:
+    keys, width = ", ".join(_KEYS[model]), _WIDTH[grain]
+    using = f"USING (number, {keys})"
+    return _timed(model, f""", marked AS (
+  SELECT *, coalesce(play_time - lag(play_time) OVER w > {idle}, true) AS opens FROM kept WINDOW w AS (PARTITION BY {keys} ORDER BY play_time)
+), numbered AS (
+  SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY {keys} ORDER BY play_time, opens DESC ROWS UNBOUNDED PRECEDING) AS spell FROM marked
+), spells AS (
+  SELECT {keys}, spell, min(play_time) AS since, max(play_time) + {idle} AS till FROM numbered GROUP BY ALL
+), active AS (
+  SELECT {keys}, number, CAST(sum(least(till, (number + 1) * {width}) - greatest(since, number * {width})) AS BIGINT) AS active_ms,
+    bool_or(till >= (number + 1) * {width}) AS active_at_end
+  FROM spells, unnest(range(since // {width}, (till - 1) // {width} + 1)) AS r(number) GROUP BY ALL
+), played AS (
+  SELECT play_time // {width} AS number, {keys}, count(*) AS total_spins, count(*) FILTER (opens) AS spells_started, max(play_time) AS last_play_ms
+  FROM marked GROUP BY ALL
+)
+SELECT {_number_label(grain)}, {keys}, coalesce(total_spins, 0) AS total_spins, coalesce(spells_started, 0) AS spells_started,
+  active_ms, CAST(100 * active_ms AS DOUBLE) / {width} AS active_pct, active_at_end, last_play_ms
+FROM active LEFT JOIN played {using} WHERE number <= (SELECT max(play_time) // {width} FROM kept)""").replace("\n)\n, marked", "\n), marked")
+
+
+def _budgets(grain: str) -> str:
+    label = _number_label(grain, f"(play_time // {_WIDTH[grain]})")
+    return _timed("player", f"""SELECT {grain}_bucket, player_card_number, count(*) AS games, max(budget) AS max_player_budget,
+  string_agg(game_name || '=' || CAST(budget AS VARCHAR), ', ' ORDER BY game_name) AS max_budget_by_game
+FROM (
+  SELECT {label}, player_card_number, game_name, max(budget) AS budget FROM kept
+  WHERE game_name IS NOT NULL AND budget IS NOT NULL GROUP BY ALL
+) GROUP BY ALL""")
+
+
 _SPLIT_KEYS = "hour_bucket, floor_location, player_type"
 
 
@@ -238,4 +312,17 @@ def oracle_sql() -> dict[str, str]:
         "decimal_refresh": _split(
             "floor", "hour", "SELECT * EXCLUDE (total_avg_bet_size) FROM combined"
         ),
+        "player_by_day_from_states": _player("day"),
+        "floor_by_day_from_states": _split("floor", "day"),
+        "game_by_day_from_states": _split("game", "day"),
+        "player_velocity_by_hour": _velocity("player", "hour"),
+        "game_velocity_by_day": _velocity("game", "day"),
+        "player_velocity_refresh": _velocity("player", "day"),
+        "floor_occupancy_by_hour": _occupancy("floor", "hour"),
+        "floor_occupancy_refresh": _occupancy("floor", "hour"),
+        "floor_activity_by_hour": _activity("floor", "hour"),
+        "floor_activity_by_day": _activity("floor", "day"),
+        "floor_activity_refresh": _activity("floor", "hour"),
+        "player_budgets_by_day": _budgets("day"),
+        "player_budgets_refresh": _budgets("hour"),
     }

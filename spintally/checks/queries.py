@@ -12,12 +12,23 @@ from spintally.checks.fixture import session_events
 from spintally.functions.buckets import bucket_label, bucket_number
 from spintally.functions.measures import event_measures, player_type
 from spintally.operators import legs as steps
-from spintally.operators.grouping import distinct_count_name
+from spintally.operators.grouping import distinct_count_name, members
 from spintally.operators.rows import BUCKET, PLAYER_TYPE, event_rows, is_carded, is_update
 from spintally.operators.slices import high_watermark, since_slice
 from spintally.plans import rollups
+from spintally.plans.measured import (
+    FLOOR_ACTIVITY,
+    FLOOR_OCCUPANCY,
+    GAME_VELOCITY,
+    PLAYER_BUDGETS,
+    PLAYER_VELOCITY,
+    Measured,
+    measure,
+    refresh_measured,
+)
 from spintally.plans.refresh import default_targets, rebuild, refresh, refresh_all
 from spintally.plans.rollups import CARDS, FLOOR, GAME, PLAYER, THEMES, Model, finish, rollup
+from spintally.plans.states import refresh_days, state_target
 from spintally.plans.targets import Target
 from spintally.schema import HOUR_BUCKET, MONEY_COLUMNS, bucket_column
 from spintally.sources.scratch import kept, scratch_path
@@ -95,25 +106,26 @@ def _slice(model: Model, grain: str) -> Query:
 # --- Legs, totals, join and union, one step at a time --------------------------
 
 
-def _kept(spark: SparkSession, sf: str, model: Model, grain: str) -> tuple[DataFrame, tuple]:
-    """The rows that a rollup groups, as a table that several steps can read."""
+def _members(spark: SparkSession, sf: str, model: Model, grain: str) -> tuple[DataFrame, ...]:
+    """The members of each key, from one grouping of the raw rows, as a table that several steps read."""
     rows = event_rows(session_events(spark, sf), grain).filter(model.keep())
-    return kept(rows, "step_rows"), (BUCKET, *model.keys)
+    keys = (BUCKET, *model.keys)
+    return kept(members(rows, keys, model.counted, CARDS), "members"), keys, rows
 
 
 def _legs(model: Model, grain: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows, keys = _kept(spark, sf, model, grain)
-        return finish(steps.legs(rows, keys, model.counted), model, grain, (), rows)
+        found, keys, rows = _members(spark, sf, model, grain)
+        return finish(steps.legs(found, keys, model.counted), model, grain, (), rows)
 
     return query
 
 
 def _all_rows(model: Model, grain: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows, keys = _kept(spark, sf, model, grain)
-        leg_rows = steps.legs(rows, keys, model.counted)
-        totals = steps.distinct_totals(rows, keys, model.counted)
+        found, keys, rows = _members(spark, sf, model, grain)
+        leg_rows = steps.legs(found, keys, model.counted)
+        totals = steps.distinct_totals(found, keys, model.counted)
         return finish(steps.all_rows(leg_rows, totals, keys), model, grain, (), rows)
 
     return query
@@ -121,9 +133,9 @@ def _all_rows(model: Model, grain: str) -> Query:
 
 def _totals_join(model: Model, grain: str, null_safe: bool = True) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows, keys = _kept(spark, sf, model, grain)
-        folded = steps.fold_legs(steps.legs(rows, keys, model.counted), keys)
-        totals = steps.distinct_totals(rows, keys, model.counted)
+        found, keys, rows = _members(spark, sf, model, grain)
+        folded = steps.fold_legs(steps.legs(found, keys, model.counted), keys)
+        totals = steps.distinct_totals(found, keys, model.counted)
         joined = steps.join_totals(folded, totals, keys, null_safe)
         done = finish(joined.withColumn(PLAYER_TYPE, F.lit(None)), model, grain, (), rows)
         return done.drop(PLAYER_TYPE, "total_avg_bet_size", "avg_duration")
@@ -132,8 +144,8 @@ def _totals_join(model: Model, grain: str, null_safe: bool = True) -> Query:
 
 
 def distinct_totals(spark: SparkSession, sf: str) -> DataFrame:
-    rows, keys = _kept(spark, sf, FLOOR, "hour")
-    totals = steps.distinct_totals(rows, keys, FLOOR.counted)
+    found, keys, _ = _members(spark, sf, FLOOR, "hour")
+    totals = steps.distinct_totals(found, keys, FLOOR.counted)
     names = {
         "session_uuid": "total_session_counts",
         "asset_number": "total_distinct_asset_counts",
@@ -148,8 +160,8 @@ def distinct_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_all_legs(spark: SparkSession, sf: str) -> DataFrame:
-    rows, keys = _kept(spark, sf, GAME, "day")
-    return finish(steps.with_all_rows(rows, keys, GAME.counted), GAME, "day", (), rows)
+    found, keys, rows = _members(spark, sf, GAME, "day")
+    return finish(steps.with_all_rows(found, keys, GAME.counted), GAME, "day", (), rows)
 
 
 # --- Stored rollups ------------------------------------------------------------
@@ -185,6 +197,46 @@ def shared_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return targets["game_by_hour"].read(spark)
 
 
+# --- Days from hourly states -----------------------------------------------------
+
+
+def _in_three(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Events up to a third, two thirds, and all of history."""
+    events = session_events(spark, sf)
+    low, high = events.agg(F.min("eventTime"), F.max("eventTime")).first()
+    return [events.filter(F.col("eventTime") < low + (high - low) * k // 3) for k in (1, 2)] + [events]
+
+
+def _from_states(model: Model) -> Query:
+    """A daily rollup from hourly states, both brought up to date in three slices."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        states = state_target(scratch_path(spark, "states"), model)
+        days = Target(scratch_path(spark, "days"), model, "day")
+        for events in _in_three(spark, sf):
+            refresh_days(events, states, days)
+        return days.read(spark)
+
+    return query
+
+
+# --- Time and order ----------------------------------------------------------------
+
+
+def _measured(model: Measured, grain: str) -> Query:
+    return lambda spark, sf: measure(session_events(spark, sf), model, grain)
+
+
+def _measured_in_slices(model: Measured, grain: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        target = Target(scratch_path(spark, model.name), model, grain)
+        for events in _in_three(spark, sf):
+            refresh_measured(events, target)
+        return target.read(spark)
+
+    return query
+
+
 # --- Tenants -------------------------------------------------------------------
 
 
@@ -296,4 +348,17 @@ def queries() -> dict[str, Query]:
         "tenant_refresh": tenant_refresh,
         "tenant_rebuild": tenant_rebuild,
         "decimal_refresh": decimal_refresh,
+        "player_by_day_from_states": _from_states(PLAYER),
+        "floor_by_day_from_states": _from_states(FLOOR),
+        "game_by_day_from_states": _from_states(GAME),
+        "player_velocity_by_hour": _measured(PLAYER_VELOCITY, "hour"),
+        "game_velocity_by_day": _measured(GAME_VELOCITY, "day"),
+        "player_velocity_refresh": _measured_in_slices(PLAYER_VELOCITY, "day"),
+        "floor_occupancy_by_hour": _measured(FLOOR_OCCUPANCY, "hour"),
+        "floor_occupancy_refresh": _measured_in_slices(FLOOR_OCCUPANCY, "hour"),
+        "floor_activity_by_hour": _measured(FLOOR_ACTIVITY, "hour"),
+        "floor_activity_by_day": _measured(FLOOR_ACTIVITY, "day"),
+        "floor_activity_refresh": _measured_in_slices(FLOOR_ACTIVITY, "hour"),
+        "player_budgets_by_day": _measured(PLAYER_BUDGETS, "day"),
+        "player_budgets_refresh": _measured_in_slices(PLAYER_BUDGETS, "hour"),
     }

@@ -21,9 +21,9 @@ from spintally.functions.measures import PARTS, fold_parts, net_win
 from spintally.operators.rows import PLAYER_TYPE
 from spintally.schema import ALL_PLAYERS, CARDED, UNCARDED
 
-_FACET = "facet"
-_MEMBER = "member"
-_LEG_FLAGS = {CARDED: "in_carded", UNCARDED: "in_uncarded"}
+FACET = "facet"
+MEMBER = "member"
+LEG_FLAGS = {CARDED: "in_carded", UNCARDED: "in_uncarded"}
 
 
 def members(
@@ -34,17 +34,17 @@ def members(
     The carrier's rows hold the measures, summed per member. They alone may have
     a NULL member, which counts for nothing and so belongs to no facet.
     """
-    carries = F.col(_FACET) == carrier
+    carries = F.col(FACET) == carrier
     return (
-        rows.unpivot([*keys, PLAYER_TYPE, *PARTS], list(counted), _FACET, _MEMBER)
-        .filter(carries | F.col(_MEMBER).isNotNull())
+        rows.unpivot([*keys, PLAYER_TYPE, *PARTS], list(counted), FACET, MEMBER)
+        .filter(carries | F.col(MEMBER).isNotNull())
         .withColumns({part: F.when(carries, F.col(part)) for part in PARTS})
-        .groupBy(*keys, _FACET, _MEMBER)
+        .groupBy(*keys, FACET, MEMBER)
         .agg(
-            *(F.bool_or(F.col(PLAYER_TYPE) == leg).alias(flag) for leg, flag in _LEG_FLAGS.items()),
+            *(F.bool_or(F.col(PLAYER_TYPE) == leg).alias(flag) for leg, flag in LEG_FLAGS.items()),
             *fold_parts(),
         )
-        .withColumn(_FACET, F.when(F.col(_MEMBER).isNotNull(), F.col(_FACET)))
+        .withColumn(FACET, F.when(F.col(MEMBER).isNotNull(), F.col(FACET)))
     )
 
 
@@ -52,8 +52,15 @@ def distinct_count_name(column: str) -> str:
     return f"distinct_{column}"
 
 
-def _distinct_counts(counted: tuple[str, ...]) -> list[Column]:
-    return [F.count_if(F.col(_FACET) == c).alias(distinct_count_name(c)) for c in counted]
+def fold_members(found: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Members of smaller groups as those of larger ones: a member of several counts once."""
+    flags = (F.bool_or(flag).alias(flag) for flag in LEG_FLAGS.values())
+    return found.groupBy(*keys, FACET, MEMBER).agg(*flags, *fold_parts())
+
+
+def distinct_counts(counted: tuple[str, ...]) -> list[Column]:
+    """Counts of members by facet, for a grouping of members by key."""
+    return [F.count_if(F.col(FACET) == c).alias(distinct_count_name(c)) for c in counted]
 
 
 def group_whole(
@@ -64,11 +71,17 @@ def group_whole(
     The array is as long as the list that the result has to hold. That column is
     the carrier too, so that most rows of the second grouping have a use for both.
     """
-    values = F.when(F.col(_FACET) == listed, F.col(_MEMBER))
+    return whole_of(members(rows, keys, counted, carrier=listed), keys, counted, listed)
+
+
+def whole_of(
+    found: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], listed: str
+) -> DataFrame:
+    """The same from the members of each key."""
+    values = F.when(F.col(FACET) == listed, F.col(MEMBER))
     return (
-        members(rows, keys, counted, carrier=listed)
-        .groupBy(*keys)
-        .agg(*fold_parts(), *_distinct_counts(counted), F.collect_list(values).alias(listed))
+        found.groupBy(*keys)
+        .agg(*fold_parts(), *distinct_counts(counted), F.collect_list(values).alias(listed))
         .withColumn("net_win", net_win())
     )
 
@@ -82,21 +95,29 @@ def group_split(
     adds the legs' net wins, so these are kept apart until the end: a leg without
     one is skipped, rather than making the whole unknown.
     """
-    legs = {flag: F.when(F.col(flag), leg) for leg, flag in _LEG_FLAGS.items()}
-    carried = [*keys, _FACET, *PARTS, *_LEG_FLAGS.values()]
+    return split_of(members(rows, keys, counted, carrier), keys, counted)
+
+
+def to_legs(found: DataFrame, keys: tuple[str, ...], whole: bool = True) -> DataFrame:
+    """Each member once for each leg that it was seen in, and once for the whole if wanted."""
+    carried = [*keys, FACET, *PARTS, *LEG_FLAGS.values()]
+    tags = {f"to_{flag}": F.when(F.col(flag), leg) for leg, flag in LEG_FLAGS.items()}
+    tags |= {"to_whole": F.lit(ALL_PLAYERS)} if whole else {}
+    tagged = found.withColumns(tags).unpivot(carried, list(tags), "origin", PLAYER_TYPE)
+    return tagged.filter(F.col(PLAYER_TYPE).isNotNull()).drop("origin")
+
+
+def split_of(found: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
+    """Legs and ``All`` rows from the members of each key."""
     leg_sums = [
         F.sum(F.when(F.col(flag), F.col(part))).alias(f"{flag}_{part}")
-        for flag in _LEG_FLAGS.values()
+        for flag in LEG_FLAGS.values()
         for part in ("coin_in", "coin_out", "jackpot")
     ]
-    carded, uncarded = (net_win(f"{flag}_") for flag in _LEG_FLAGS.values())
+    carded, uncarded = (net_win(f"{flag}_") for flag in LEG_FLAGS.values())
     return (
-        members(rows, keys, counted, carrier)
-        .withColumns({f"to_{flag}": leg for flag, leg in legs.items()})
-        .withColumn("to_whole", F.lit(ALL_PLAYERS))
-        .unpivot(carried, [*(f"to_{flag}" for flag in legs), "to_whole"], "origin", PLAYER_TYPE)
-        .filter(F.col(PLAYER_TYPE).isNotNull())
+        to_legs(found, keys)
         .groupBy(*keys, PLAYER_TYPE)
-        .agg(*fold_parts(), *leg_sums, *_distinct_counts(counted))
+        .agg(*fold_parts(), *leg_sums, *distinct_counts(counted))
         .withColumn("net_win", F.coalesce(carded + uncarded, carded, uncarded))
     )

@@ -1,8 +1,9 @@
 """The carded, uncarded and whole-group rows as separate steps.
 
 These are the building blocks one at a time: leg aggregates, whole-group
-distinct counts, their join and the union. Rollups use the one-pass form of
-:mod:`spintally.operators.grouping`, and the tests hold the two equal.
+distinct counts, their join and the union. All of them start from one table of
+members, as :func:`spintally.operators.grouping.members` makes it, so raw rows are
+shuffled once. Rollups use the one-pass form of that module, and the tests hold the two equal.
 """
 
 from __future__ import annotations
@@ -14,27 +15,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spintally.functions.measures import fold_parts, net_win
-from spintally.operators.grouping import distinct_count_name
+from spintally.operators.grouping import distinct_counts, to_legs
 from spintally.operators.rows import PLAYER_TYPE
 from spintally.schema import ALL_PLAYERS
 
 
-def _distinct_counts(counted: tuple[str, ...]) -> list:
-    return [F.count_distinct(c).alias(distinct_count_name(c)) for c in counted]
-
-
-def legs(rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
-    """One row per key and player type."""
+def legs(found: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
+    """One row per key and player type, from the members of each key."""
     return (
-        rows.groupBy(*keys, PLAYER_TYPE)
-        .agg(*fold_parts(), *_distinct_counts(counted))
+        to_legs(found, keys, whole=False)
+        .groupBy(*keys, PLAYER_TYPE)
+        .agg(*fold_parts(), *distinct_counts(counted))
         .withColumn("net_win", net_win())
     )
 
 
-def distinct_totals(rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
+def distinct_totals(found: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...]) -> DataFrame:
     """Distinct counts per key over both legs, which leg counts do not add up to."""
-    return rows.groupBy(*keys).agg(*_distinct_counts(counted))
+    return found.groupBy(*keys).agg(*distinct_counts(counted))
 
 
 def fold_legs(leg_rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -72,9 +70,9 @@ def all_rows(
 
 
 def with_all_rows(
-    rows: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], null_safe: bool = True
+    found: DataFrame, keys: tuple[str, ...], counted: tuple[str, ...], null_safe: bool = True
 ) -> DataFrame:
     """Legs and ``All`` rows together, matched by column name."""
-    leg_rows = legs(rows, keys, counted)
-    whole = all_rows(leg_rows, distinct_totals(rows, keys, counted), keys, null_safe)
+    leg_rows = legs(found, keys, counted)
+    whole = all_rows(leg_rows, distinct_totals(found, keys, counted), keys, null_safe)
     return leg_rows.unionByName(whole)

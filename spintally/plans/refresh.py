@@ -78,7 +78,7 @@ def find_starts(
     return starts
 
 
-def _slice(events: Events, starts: Starts, grain: str, tz: str) -> DataFrame:
+def slice_of(events: Events, starts: Starts, grain: str, tz: str) -> DataFrame:
     if isinstance(events, DataFrame):
         return since_slice(events, starts[None], grain, tz)
     return union_tenants({n: since_slice(df, starts[n], grain, tz) for n, df in events.items()})
@@ -113,7 +113,7 @@ def refresh(
     """
     seen = target.look(session_of(events))
     starts = find_starts(events, target, lookback, since, seen)
-    rows = event_rows(_slice(events, starts, target.grain, tz), target.grain, tz, target.by)
+    rows = event_rows(slice_of(events, starts, target.grain, tz), target.grain, tz, target.by)
     rolled = roll_rows(rows, target.model, target.grain, target.by, null_safe_totals)
     swap(rolled, seen, starts)
     return starts
@@ -139,7 +139,7 @@ def swap(rolled: DataFrame, seen: Snapshot, starts: Starts) -> None:
             target.upsert(rows)
 
 
-def _by_tenant(df: DataFrame, values: Mapping[str | None, str | int | None], name: str) -> DataFrame:
+def by_tenant(df: DataFrame, values: Mapping[str | None, str | int | None], name: str) -> DataFrame:
     """Each row with its own tenant's value, NULL where there is none.
 
     Tenants' values are a small table, one row for each that the caller named.
@@ -241,7 +241,7 @@ def _from_start(rows: DataFrame, starts: Starts, grain: str) -> DataFrame:
     first = {t: None if label is None else parse_label(label, grain) for t, label in starts.items()}
     if all(label is None for label in first.values()):
         return rows
-    known = _by_tenant(rows, first, "_start")
+    known = by_tenant(rows, first, "_start")
     return known.filter(F.col("_start").isNull() | (F.col(BUCKET) >= F.col("_start"))).drop("_start")
 
 
@@ -260,7 +260,7 @@ def _refresh_together(
 
     def bring_up_to_date(name: str, rows: DataFrame) -> None:
         target = targets[name]
-        rolled = roll_rows(rows, target.model, target.grain, by, null_safe_totals)
+        rolled = roll_rows(rows, target.model, target.grain, by, null_safe_totals, typed=single)
         if name in seen:
             swap(rolled, seen[name], starts[name])
         else:
@@ -268,12 +268,13 @@ def _refresh_together(
 
     if len(targets) == 1:  # nothing to share
         [(name, target)] = targets.items()
-        sliced = _slice(events, starts[name], target.grain, tz)
-        bring_up_to_date(name, event_rows(sliced, target.grain, tz, by))
+        sliced = slice_of(events, starts[name], target.grain, tz)
+        single = event_rows(sliced, target.grain, tz, by)
+        bring_up_to_date(name, single)
         return
-    sliced = _slice(events, _earliest(starts.values()), "hour", tz)
-    rows = event_rows(sliced, "hour", tz, by)
-    with written_once(compact(rows, by), "session_hours") as hours:
+    sliced = slice_of(events, _earliest(starts.values()), "hour", tz)
+    single = event_rows(sliced, "hour", tz, by)
+    with written_once(compact(single, by), "session_hours") as hours:
 
         def wanted(name: str) -> DataFrame:
             grain = targets[name].grain

@@ -116,21 +116,32 @@ def roll_rows(
     by: tuple[str, ...] = (),
     null_safe_totals: bool = True,
     fold_first: bool = False,
+    typed: DataFrame | None = None,
 ) -> DataFrame:
-    """Roll up rows of the given grain, be they single events or compacted ones."""
+    """Roll up rows of the given grain, be they single events or compacted ones.
+
+    ``typed`` are the rows of single events that compacted ones come from: each sum widens a
+    decimal, and the result's types follow the events'.
+    """
+    typed = rows if typed is None else typed
     keys = (*by, BUCKET, *model.keys)
     kept = rows.filter(model.keep())
     if fold_first:
         kept = compact(kept, by, dict.fromkeys((*model.keys, *model.counted)))
     if not model.split:
         return finish(
-            group_whole(kept, keys, model.counted, listed=THEMES), model, grain, by, rows
+            group_whole(kept, keys, model.counted, listed=THEMES), model, grain, by, typed
         )
     groups = group_split(kept, keys, model.counted, carrier=CARDS)
-    if not null_safe_totals:
-        complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
-        groups = groups.filter((F.col(PLAYER_TYPE) != ALL_PLAYERS) | complete)
-    return finish(groups, model, grain, by, rows)
+    return finish(complete_totals(groups, keys, null_safe_totals), model, grain, by, typed)
+
+
+def complete_totals(groups: DataFrame, keys: tuple[str, ...], null_safe: bool) -> DataFrame:
+    """Without ``null_safe``, leaves out the ``All`` rows of groups with a NULL key."""
+    if null_safe:
+        return groups
+    complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    return groups.filter((F.col(PLAYER_TYPE) != ALL_PLAYERS) | complete)
 
 
 def rollup(

@@ -294,7 +294,7 @@ class Target:
         """Rows gathered by partition for large files; an oversized partition is split."""
         if self.hours_share_folders and DAY_FOLDER not in rows.columns:
             rows = rows.withColumn(DAY_FOLDER, F.substring(self.bucket, 1, 10))
-        inner = (self.bucket, *self.model.keys, *((PLAYER_TYPE,) if self.model.split else ()))
+        inner = (c for c in (self.bucket, *self.model.keys, PLAYER_TYPE) if c in self.columns)
         order = dict.fromkeys((*self.partitions, *inner))
         return rows.hint("rebalance", *self.partitions).sortWithinPartitions(*order)
 

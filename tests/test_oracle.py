@@ -26,7 +26,7 @@ def _sorted(rows, columns):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-_TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
+_TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
 def test_every_query_has_an_oracle():

@@ -7,10 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from spintally.checks import queries
 from spintally.checks.fixture import session_events
 from spintally.plans import rollups as R
 from spintally.plans.refresh import rebuild
 from spintally.plans.targets import DAY_FOLDER, Target
+from spintally.sources import scratch
 from spintally.sources.sessions import read_sessions
 
 DATA = "/root/testdata/sf0.001"
@@ -79,3 +81,24 @@ def test_newest_day_is_read_alone(spark, raw, tmp_path):
 def test_writes_gather_rows_by_partition(raw):
     arranged = Target("/nowhere", R.FLOOR, "hour")._arranged(R.floor_by_hour(raw))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(arranged)
+
+
+@pytest.mark.parametrize(
+    "name", ["floor_legs", "game_legs", "distinct_totals", "floor_totals_join", "game_all_rows", "union_all_legs"]
+)
+def test_steps_share_one_grouping_of_the_raw_rows(spark, monkeypatch, name):
+    """What is written is the members, from one shuffle of the raw rows; the steps read nothing else."""
+    written = []
+
+    def noted(df, called):
+        written.append((called, df))
+        return scratch.kept(df, called)
+
+    monkeypatch.setattr(queries, "kept", noted)
+    found = queries.queries()[name](spark, DATA)
+    [(called, members)] = written
+    assert called == "members"
+    assert count(members, "Exchange") == 1 and count(members, "Scan parquet") == 1
+    text = plan(found)
+    assert "events.parquet" not in text
+    assert not re.search(r"Join|Window|Python", text)
