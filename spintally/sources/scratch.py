@@ -1,10 +1,16 @@
-"""Tables that a job needs for a while, in the shared folder that the cluster names."""
+"""Tables that a job needs for a while, in the shared folder that the cluster names.
+
+:func:`kept` writes one for the rest of the session, or of the innermost :func:`scratch` block, whose
+tables are deleted when it ends; what :func:`handed_on` writes goes with the block around it. Tables
+that outlive every block are deleted when the session's JVM ends.
+"""
 
 from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _own_folders: dict[str, str] = {}
+# Paths of each block that is open, the innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("scratch blocks", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,14 +61,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Adds the paths of tables that are written inside to ``paths``."""
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`kept` writes inside are deleted at the end."""
+    paths: list[str] = []
+    try:
+        with noted(paths):
+            yield
+    finally:
+        discard(spark, paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes these tables."""
+    while paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, for the rest of the session.
+    """``df`` written to the shared folder and read back.
 
     This cuts the lineage: a lost executor costs a re-read, not a new run of the
     plan. Spark knows the table's true size, so it broadcasts it only where it is
     small enough.
     """
+    return _written(df, name, _blocks.get())
+
+
+def handed_on(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`kept`, for the block around the innermost one."""
+    return _written(df, name, _blocks.get()[:-1])
+
+
+def _written(df: DataFrame, name: str, blocks: tuple[list[str], ...]) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -78,5 +125,4 @@ def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        discard(spark, [path])
