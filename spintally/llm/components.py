@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     while not _are_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = least.select(F.col("a").alias("node"), F.least("a", "least").alias("least"))
+        # Written, so that the join reads plain exchanges, and Spark can split a node of very many edges.
+        least = kept(least.select(F.col("a").alias("node"), F.least("a", "least").alias("least")), "least")
         large = both.filter("b > a").join(least, F.col("a") == F.col("node"))
         edges = large.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         least = edges.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "node")

@@ -10,21 +10,27 @@ link by definition, so the sets of a subset form a star and need no comparison.
 
 Heavy sets: the shingles of all sets that a heavy one may link with are put into
 inverted lists, as far as the prefix that a partner has to meet; the lists are
-scanned, and the sets met are compared shingle by shingle. Prefixes take rare
-shingles first. How common a shingle is, is told by those met twice among a few
-thousand documents, summed up over all documents: the order is a matter of speed
-alone. Lists of up to ``SHORT_LIST`` sets give all their pairs. In longer lists, each set is first
-compared with a few leaders; lists whose sets are all connected by then are done,
-and the sets of the others are compared across components, all of them. So
-no link between components is missed, and copies by the thousand take a linear
-number of comparisons.
+scanned. Prefixes take rare shingles first: those that sets of many kinds begin with, as passages that documents
+share do, come last. They are counted over all sets, among the first shingles of each (twice its
+prefix, by hash); sets in which such shingles leave too few others are read again. The list of common shingles that goes to
+every task has ``MOST_COMMON`` entries at most; the order is a matter of speed alone.
+
+Lists of up to ``SHORT_LIST`` sets give all their pairs. Of the longer ones, each set is compared with a leader of
+two of its lists, ``TURNS`` times, as long as a list has sets in more than one component, so
+copies by the thousand take a linear number of comparisons. The pairs across components that are then left are all
+compared, so no link between components is missed.
+
+Pairs are sifted before their texts are read: sizes tell a part of them, and the parity of hashed shingles
+(``BITS`` bits a set) another. Each bit in which two sets differ stands for a shingle that only one
+of them has, so their number bounds what they can share.
 
 The boundary is where the cost of all subsets below it and of all lists above it,
 summed over the sizes that occur, is least.
 
 Cases: a text without words, or NULL, has an empty set and links with nothing.
 Shingles are compared by 64-bit hashes, and sets are told apart by 128-bit ones. A
-text shorter than a shingle is one shingle. Rows are known by id and text, so NULL or repeated ids
+text shorter than a shingle is one shingle. Very long texts are read whole; their sets stay in the task
+that reads them, apart from a prefix. Leaders are drawn by hash, and ties between equal sets do not arise, as these are one class. Rows are known by id and text, so NULL or repeated ids
 do not mix texts; a component is named by its least non-NULL id. Empty tables give
 empty results. Other columns are left alone.
 """
@@ -32,25 +38,30 @@ empty results. Other columns are left alone.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import comb
+from operator import add
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spintally.llm.components import components
-from spintally.llm.text import hashed, mixed, shingles, signed
-from spintally.sources.scratch import kept
+from spintally.llm.text import STEP, hashed, mixed, shingles, signed
+from spintally.sources.scratch import handed_on, kept, scratch
 
 # Entries of the list of common shingles, which goes to every task: 16 bytes each.
-MOST_COMMON = 1 << 17
-COUNT_AT_ONCE = 1 << 21
+MOST_COMMON = 1 << 20
+# Of 64 bits, one for each kind of set that begins with a shingle, how many make it common.
+KINDS = 14
 SHORT_LIST = 16
-LEADER_ROUNDS = 3
+TURNS = 2
+BITS = 512
+# Sets of this size are carried whole.
+SMALL = 64
 # A list entry also costs its share of the comparisons that it leads to.
 ENTRY_COST = 8
 MOST_SUBSETS = 2000
@@ -90,7 +101,7 @@ def best_boundary(sizes: dict[int, int], percent: int) -> int:
     heavy = sum(count * prefix_length(n, percent) * ENTRY_COST for n, count in sizes.items())
     costs[0] = heavy
     n = 0
-    while (n := n + 1) and subset_count(n, n, percent) <= MOST_SUBSETS:
+    while (n := n + 1) <= SMALL and subset_count(n, n, percent) <= MOST_SUBSETS:
         light += sizes.get(n, 0) * subset_count(n, n, percent)
         heavy -= sizes.get(n, 0) * prefix_length(n, percent) * ENTRY_COST
         costs[n] = light + heavy
@@ -112,81 +123,117 @@ def _ids(keys: list[bytes]) -> np.ndarray:
     return np.array([int.from_bytes(key[:8], "big", signed=True) for key in keys], np.int64)
 
 
-def _commons(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    values, counts = np.unique(np.concatenate(sets), return_counts=True)
-    return values[counts > 1], counts[counts > 1]
+def _parity(own: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of ``BITS`` places, as numbers of 64 bits."""
+    counts = np.bincount(((own * STEP) >> np.uint64(55)).astype(np.int64), minlength=BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def described(docs: DataFrame, width: int) -> DataFrame:
-    """Each document's set: size ``n``, ``key`` and ``id``; on some rows, ``common`` shingles and ``counts``."""
+def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Each document's set: size ``n``, ``key`` and ``id``; of each key's first row in a batch ``firsts`` and ``bits``.
 
-    @F.pandas_udf("n bigint, key binary, id bigint, common array<bigint>, counts array<bigint>")
+    ``firsts`` are the set's first shingles by a mix of their hashes: all of a small set, else twice its prefix.
+    """
+
+    @F.pandas_udf("n bigint, key binary, id bigint, firsts array<bigint>, bits array<bigint>")
     def describe(texts: pd.Series) -> pd.DataFrame:
-        sizes, keys, commons, gathered, seen = [], [], [], {}, 0
+        sizes, keys, firsts, bits, seen = [], [], [], [], set()
         for own in _sets(texts, width):
-            sizes.append(len(own))
+            n = len(own)
+            sizes.append(n)
             keys.append(key := _key(own))
-            if len(own) and key not in gathered:
-                gathered[key] = own
-                seen += len(own)
-            if seen > COUNT_AT_ONCE:
-                commons.append(_commons(list(gathered.values())))
-                gathered, seen = {}, 0
-        if gathered:
-            commons.append(_commons(list(gathered.values())))
-        rest: list = [None] * (len(sizes) - 1)
-        values, counts = map(np.concatenate, zip(*commons)) if commons else (None, None)
-        first = {} if not sizes else {"common": [values if values is None else signed(values), *rest], "counts": [counts, *rest]}
-        return pd.DataFrame({"n": sizes, "key": keys, "id": _ids(keys), "common": None, "counts": None} | first)
-
-    own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), describe("text").alias("own"))
-    return kept(own, "described").select("doc_id", "text_hash", "own.*")
-
-
-def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most common shingles, sorted, and how often each was met."""
-    pairs = rows.filter("common is not null").select(F.explode(F.arrays_zip("common", "counts")).alias("one"))
-    top = pairs.groupBy(F.col("one.common").alias("shingle")).agg(F.sum("one.counts").alias("met"))
-    found = top.orderBy(F.desc("met"), "shingle").limit(MOST_COMMON).toPandas()
+            if not n or key in seen:
+                firsts.append(None)
+                bits.append(None)
+                continue
+            seen.add(key)
+            place = mixed(own)
+            some = n if n <= SMALL else min(n, 2 * prefix_length(n, percent))
+            if some < n:
+                chosen = np.argpartition(place, some)[:some]
+                own, whole = own[chosen], own
+                place = place[chosen]
+            else:
+                whole = own
+            firsts.append(signed(own[np.argsort(place)]))
+            bits.append(_parity(whole))
+        return pd.DataFrame({"n": sizes, "key": keys, "id": _ids(keys), "firsts": firsts, "bits": bits})
+
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), describe("text").alias("own")).select(
+        "doc_id", "text_hash", "own.*"
+    )
+
+
+def common_shingles(classes: DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that sets of many kinds begin with, sorted, and a measure of how many kinds.
+
+    A set's kind is its first shingle, which near copies mostly share. Kinds are counted as bits of a
+    number, which Spark combines in each task before it shuffles.
+    """
+    twice = (2 * (F.col("n") - F.call_function("div", percent * F.col("n") + 99, F.lit(100)) + 1)).cast("int")
+    rows = classes.select(F.get("firsts", F.lit(0)).alias("kind"), F.explode(F.slice("firsts", F.lit(1), twice)).alias("shingle"))
+    kind = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64("kind"), F.lit(64)).cast("int"))
+    kinds = rows.groupBy("shingle").agg(F.bit_count(F.bit_or(kind)).alias("met")).filter(F.col("met") > KINDS)
+    found = kinds.orderBy(F.desc("met"), "shingle").limit(MOST_COMMON).toPandas()
     values = found["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
     return values[order], found["met"].to_numpy(np.int64)[order]
 
 
-def rarest_first(own: np.ndarray, common: np.ndarray, met: np.ndarray) -> np.ndarray:
+def _weights(own: np.ndarray, commons: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    common, met = commons
+    if not len(common) or not len(own):
+        return np.zeros(len(own), np.int64)
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return np.where(common[at] == own, met[at], 0)
+
+
+def rarest_first(own: np.ndarray, commons: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The set in the order that all sets share."""
-    weight = np.zeros(len(own), np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        weight = np.where(common[at] == own, met[at], 0)
-    return own[np.lexsort((mixed(own), weight))]
+    return own[np.lexsort((mixed(own), _weights(own, commons)))]
+
+
+ENTRIES = "id bigint, key binary, n bigint, shingles array<bigint>, subsets array<binary>"
 
 
-def entries(docs: DataFrame, width: int, percent: int, boundary: int, commons) -> DataFrame:
+def entries(classes: DataFrame, percent: int, boundary: int, commons) -> DataFrame:
     """List entries: ``id`` and the ``shingles`` of each set's prefix; of light sets, their ``subsets``.
 
-    A light set takes part in the lists only if a heavy one can link with it.
+    A light set takes part in the lists only if a heavy one can link with it. Sets whose prefix
+    their first shingles do not tell have NULL.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(commons)
+    shared = classes.sparkSession.sparkContext.broadcast(commons)
 
     def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, prefixes, subsets = [], [], []
-            done = set()
-            for own in _sets(batch["text"], width):
-                key, n = _key(own), len(own)
-                if not n or key in done:
-                    continue
-                done.add(key)
-                keys.append(key)
-                listed = max(partners(n, percent)) > boundary
-                first = rarest_first(own, *shared.value)[: prefix_length(n, percent) * listed]
-                prefixes.append(signed(first))
+            prefixes, subsets = [], []
+            for n, firsts in zip(batch["n"], batch["firsts"]):
+                own, wanted = np.asarray(firsts, np.int64).view(np.uint64), 0
+                if max(partners(n, percent)) > boundary:
+                    wanted = prefix_length(n, percent)
+                if n <= SMALL:
+                    first = rarest_first(own, shared.value)[:wanted]
+                else:
+                    first = own[_weights(own, shared.value) == 0][:wanted]
+                prefixes.append(signed(first) if len(first) == wanted else None)
                 sizes = subset_sizes(n, boundary, percent) if n <= boundary else {}
-                subsets.append([_subset(pair, some) for pair, k in sizes.items() for some in combinations(own.tolist(), k)])
-            yield pd.DataFrame({"id": _ids(keys), "key": keys, "shingles": prefixes, "subsets": subsets})
+                whole = np.sort(own).tolist()
+                subsets.append([_subset(pair, some) for pair, k in sizes.items() for some in combinations(whole, k)])
+            yield pd.DataFrame({"id": batch["id"], "key": batch["key"], "n": batch["n"], "shingles": prefixes, "subsets": subsets})
 
-    return docs.select("text").mapInPandas(enter, "id bigint, key binary, shingles array<bigint>, subsets array<binary>")
+    return classes.select("id", "key", "n", "firsts").mapInPandas(enter, ENTRIES)
+
+
+def whole_entries(texts: DataFrame, width: int, percent: int, commons) -> DataFrame:
+    """List entries of sets that are read whole: ``id`` and ``shingles``."""
+    shared = texts.sparkSession.sparkContext.broadcast(commons)
+
+    def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [rarest_first(own, shared.value)[: prefix_length(len(own), percent)] for own in _sets(batch["text"], width)]
+            yield pd.DataFrame({"id": batch["id"], "shingles": list(map(signed, found))})
+
+    return texts.select("id", "text").mapInPandas(enter, "id bigint, shingles array<bigint>")
 
 
 def _subset(sizes: tuple[int, int], shingles: tuple[int, ...]) -> bytes:
@@ -195,41 +242,60 @@ def _subset(sizes: tuple[int, int], shingles: tuple[int, ...]) -> bytes:
     return name + bytes([sizes[0] == sizes[1]])
 
 
-def light_links(entered: DataFrame, classes: DataFrame) -> DataFrame:
+def light_links(entered: DataFrame) -> DataFrame:
     """A star for each subset that sets of both its sizes have in common.
 
     Sets of the two sizes link with each other, so that all are connected if
     there are both, or if the two sizes are one.
     """
-    rows = entered.filter(F.size("subsets") > 0).select("key", F.explode("subsets").alias("subset")).distinct()
-    sized = rows.join(classes.select("key", "n"), "key")
+    sized = entered.filter(F.size("subsets") > 0).select("key", "n", F.explode("subsets").alias("subset"))
     stars = sized.groupBy("subset").agg(F.min("key").alias("least"), F.min("n").alias("low"), F.max("n").alias("high"))
     one_size = F.substring("subset", 17, 1) == F.lit(b"\x01")
-    stars = stars.filter(one_size | (F.col("low") < F.col("high"))).select("subset", "least")
+    # Written, so that the join reads plain exchanges.
+    stars = kept(stars.filter(one_size | (F.col("low") < F.col("high"))).select("subset", "least"), "stars")
     joined = sized.join(stars, "subset").filter("key != least")
     return joined.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _shared_lists(entered: DataFrame) -> DataFrame:
-    """Entries of lists with two sets or more: ``shingle``, ``id``, ``entries``, ``low``, ``high``."""
+    """Entries of lists with two sets or more: ``shingle``, ``id``, ``entries``."""
     rows = entered.select("id", F.explode("shingles").alias("shingle"))
     lists = rows.groupBy("shingle").agg(F.count("*").alias("entries"), F.min("id").alias("low"), F.max("id").alias("high"))
     # Written, so that the join reads both sides from plain exchanges, whose long lists Spark can split.
-    return rows.join(kept(lists.filter("low != high"), "list_ends"), "shingle").distinct()
+    ends = kept(lists.filter("low != high").select("shingle", "entries"), "list_ends")
+    return rows.join(ends, "shingle")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """``text`` with the classes' columns, from one document of each class that is wanted."""
+    same = F.col("doc_id").eqNullSafe(F.col("own.doc_id")) & (F.xxhash64("text") == F.col("own.text_hash"))
+    return docs.join(wanted.select("own", *columns), same).select("text", *columns)
+
+
+def _may_link(percent: int) -> Column:
+    """Whether the sizes and bits of two sets allow a link."""
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    differing = (F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITS // 64))
+    most = F.col("n_a") + F.col("n_b") - reduce(add, differing)  # twice what they can share
+    return sizes & ((100 + percent) * most >= 2 * percent * (F.col("n_a") + F.col("n_b")))
+
+
+def _sides(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    some = classes.select("id", "key", "n", "bits")
+    return tuple(
+        some.withColumnsRenamed({"id": f"_{s}", "key": s, "n": f"n_{s}", "bits": f"bits_{s}"}) for s in ("a", "b")
+    )
 
 
-def _named(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of set ids as pairs of classes whose sizes allow a link."""
-    some = classes.select("id", "key", "n")
-    a = some.withColumnsRenamed({"id": "_a", "key": "a", "n": "n_a"})
-    b = some.withColumnsRenamed({"id": "_b", "key": "b", "n": "n_b"})
+def _sifted(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of set ids as the pairs of classes that may link."""
+    a, b = _sides(classes)
     pairs = pairs.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-    joined = pairs.join(a, "_a").join(b, "_b").filter("a != b")
-    return joined.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
+    return pairs.join(a, "_a").join(b, "_b").filter("a != b").filter(_may_link(percent)).select("a", "b")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose texts' sets are similar enough."""
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose texts' sets are similar enough, as a written table."""
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -241,52 +307,77 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             out.append(100 * both >= percent * (len(a) + len(b) - both))
         return pd.Series(out, dtype=bool)
 
-    left = texts.withColumnsRenamed({"key": "a", "text": "left"})
-    right = texts.withColumnsRenamed({"key": "b", "text": "right"})
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.filter(similar("left", "right")).select("a", "b")
+    with scratch(docs.sparkSession):
+        pairs = kept(pairs, "pairs")
+        named = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        texts = kept(_texts(docs, classes.join(named, "key"), "key").dropDuplicates(["key"]), "texts")
+        left = texts.withColumnsRenamed({"key": "a", "text": "left"})
+        right = texts.withColumnsRenamed({"key": "b", "text": "right"})
+        joined = pairs.join(left, "a").join(right, "b")
+        return handed_on(joined.filter(similar("left", "right")).select("a", "b"), "links")
 
 
 def clusters(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n`` and ``component``, NULL for an empty set."""
-    docs = docs.select("doc_id", "text")
-    rows = described(docs, width)
-    members = rows.select("doc_id", "text_hash", "n", "key", "id")
-    filled = members.filter("n > 0")
-    classes = filled.groupBy("key").agg(
-        F.first("n").alias("n"), F.first("id").alias("id"), F.min(F.struct("doc_id", "text_hash")).alias("own")
-    )
-    classes = kept(classes, "classes")
+    """``doc_id``, ``text_hash``, ``n`` and ``component``, NULL for an empty set, as a written table."""
+    with scratch(docs.sparkSession):
+        return handed_on(_clusters(docs.select("doc_id", "text"), width, percent), "clusters")
+
+
+def _classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the class that each is in, and the classes."""
+    with scratch(docs.sparkSession):
+        rows = kept(described(docs, width, percent), "described")
+        members = handed_on(rows.select("doc_id", "text_hash", "n", "key"), "members")
+        classes = rows.filter("n > 0").groupBy("key").agg(
+            F.first("n").alias("n"),
+            F.first("id").alias("id"),
+            F.min(F.struct("doc_id", "text_hash")).alias("own"),
+            F.first("firsts", True).alias("firsts"),
+            F.first("bits", True).alias("bits"),
+        )
+        return members, handed_on(classes, "classes")
+
+
+def _lists(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of light sets, and the lists that two sets or more share."""
+    spark = docs.sparkSession
     counted = classes.groupBy("n").agg(F.count("*").alias("sets")).collect()  # a row for each size
     boundary = best_boundary({row.n: row.sets for row in counted}, percent)
-    entered = kept(entries(docs, width, percent, boundary, common_shingles(rows)), "entries")
-    edges = kept(light_links(entered, classes), "light_links")
-    lists = kept(_shared_lists(entered), "lists")
+    commons = common_shingles(classes, percent)
+    with scratch(spark):
+        entered = kept(entries(classes, percent, boundary, commons), "entries")
+        light = handed_on(light_links(entered), "light_links")
+        rows = entered.filter("shingles is not null").select("id", "shingles")
+        unknown = entered.filter("shingles is null").select("key")
+        if not unknown.isEmpty():
+            whole = _texts(docs, classes.join(unknown, "key"), "id")
+            rows = rows.union(kept(whole_entries(whole, width, percent, commons), "whole_entries"))
+        return light, handed_on(_shared_lists(rows).distinct(), "lists")
 
-    wanted = lists.select("id").distinct().join(classes, "id").select("key", "own")
-    same = F.col("doc_id").eqNullSafe(F.col("own.doc_id")) & (F.xxhash64("text") == F.col("own.text_hash"))
-    texts = docs.join(wanted, same).select("key", "text")
-    texts = kept(texts.dropDuplicates(["key"]) if _has_repeated(members) else texts, "texts")
+
+def _clusters(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    members, classes = _classes(docs, width, percent)
+    edges, lists = _lists(docs, classes, width, percent)
+
+    def linked(met: DataFrame) -> DataFrame:
+        return _linked(_sifted(met, classes, percent), docs, classes, width, percent)
 
     short = lists.filter(F.col("entries") <= SHORT_LIST).select("shingle", "id")
-    long = lists.filter(F.col("entries") > SHORT_LIST)
+    long = lists.filter(F.col("entries") > SHORT_LIST).select("shingle", "id")
     met = short.withColumnRenamed("id", "_a").join(short.withColumnRenamed("id", "_b"), "shingle").filter("_a < _b")
-    met = met.select("_a", "_b")
-    for end in ("low", "high"):
-        met = met.union(long.filter(f"id != {end}").select(F.col("id").alias("_a"), F.col(end).alias("_b")))
-    edges = edges.union(_linked(kept(_named(met, classes, percent), "pairs"), texts, width, percent))
-    edges = kept(edges, "links")
-
-    turns = 0 if long.isEmpty() else LEADER_ROUNDS
-    for turn in range(1, turns + 1):
+    met = met.select("_a", "_b").union(_with_leaders(long.withColumn("part", F.col("id")), 0))
+    edges = edges.union(linked(met))
+    for turn in range(1, 1 if long.isEmpty() else TURNS + 1):
         found = kept(components(edges), "components")
         open_lists = kept(_across(long, classes, found), "open_lists")
         if open_lists.isEmpty():
+            edges = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             break
-        last = turn == LEADER_ROUNDS
-        met = _all_across(open_lists) if last else _with_leaders(open_lists, turn)
-        more = _linked(kept(_named(met, classes, percent), "pairs"), texts, width, percent)
-        edges = kept(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "links")
+        if turn < TURNS:
+            more = linked(_with_leaders(open_lists, turn))
+        else:
+            more = _linked(_all_across(open_lists, classes, percent), docs, classes, width, percent)
+        edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
 
     found = components(edges)
     return members.join(found, F.col("key") == F.col("node"), "left").select(
@@ -308,30 +399,29 @@ def _across(long: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(kept(lists.filter("least != most").select("shingle"), "open"), "shingle")
 
 
-def _with_leaders(open_lists: DataFrame, turn: int) -> DataFrame:
-    """Each set with two leaders of its list, drawn anew in each turn, of other components."""
-    drawn = open_lists.withColumn("draw", F.xxhash64("id", F.lit(turn)))
-    ends = drawn.groupBy("shingle").agg(
-        F.min_by(F.struct("id", "part"), "draw").alias("low"), F.max_by(F.struct("id", "part"), "draw").alias("high")
-    )
-    rows = open_lists.join(kept(ends, "leaders"), "shingle")
-    low, high = (
-        rows.filter(f"part != {end}.part").select(F.col("id").alias("_a"), F.col(f"{end}.id").alias("_b"))
-        for end in ("low", "high")
-    )
-    return low.union(high)
+def _with_leaders(lists: DataFrame, turn: int) -> DataFrame:
+    """Each set with the leaders of two of its lists, drawn anew in each turn, where they are of other components."""
+    first = F.min_by(F.struct("id", "part"), F.xxhash64("id", F.lit(turn)))
+    ends = kept(lists.groupBy("shingle").agg(first.alias("leader")), "leaders")
+    rows = lists.join(ends, "shingle").filter("part != leader.part")
+    drawn = F.struct(F.xxhash64("shingle", F.lit(turn)).alias("draw"), F.col("leader.id").alias("leader"))
+    two = rows.groupBy("id").agg(F.min(drawn).alias("low"), F.max(drawn).alias("high"))
+    each = two.select(F.col("id").alias("_a"), F.explode(F.array("low.leader", "high.leader")).alias("_b"))
+    return each.distinct()
 
 
-def _all_across(open_lists: DataFrame) -> DataFrame:
-    """All pairs of a list's sets in different components."""
-    left = open_lists.withColumnsRenamed({"id": "_a", "part": "part_a"})
-    right = open_lists.withColumnsRenamed({"id": "_b", "part": "part_b"})
-    return left.join(right, "shingle").filter("part_a < part_b").select("_a", "_b")
+def _all_across(open_lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a list's sets in different components that may link."""
+    a, b = _sides(classes)
+    left = open_lists.withColumnsRenamed({"id": "_a", "part": "part_a"}).join(a, "_a")
+    right = open_lists.withColumnsRenamed({"id": "_b", "part": "part_b"}).join(b, "_b")
+    joined = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("part_a") < F.col("part_b")) & _may_link(percent))
+    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def report(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """Every document's set size, and the least id of its component."""
-    found = kept(clusters(docs, width, percent), "clusters")
+    found = clusters(docs, width, percent)
     least = found.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = found.join(least, "component", "left")
     return joined.select(
@@ -341,7 +431,7 @@ def report(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without all but one of each component: the least id, and of its rows the least text."""
-    found = kept(clusters(docs, width, percent), "clusters")
+    found = clusters(docs, width, percent)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text")
     first = found.filter("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
     first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
