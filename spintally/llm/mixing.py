@@ -1,24 +1,28 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source has a target share of all words, at most ``MOST_TIMES`` its own
-size; what a source cannot take goes to the others by weight. A document of a
-source is due ``target / size`` copies: the whole ones it gets for certain, and
-the rest is its inclusion probability. Documents are ranked by the odds of a
+size; what a source cannot take goes to the others by weight. Within a source a document is due copies in
+proportion to the root of its length, as far as ``MOST_TIMES``, so that the words due add up to the
+target: of two documents, the one four times as long is due twice the copies. The whole
+copies it gets for certain, and the rest is its inclusion probability, each document's own. Documents are ranked by the odds of a
 random number over the odds of that probability, and are taken in that order until
-the source's open words are filled. The size of the sample is so fixed in words:
+the source's open words are filled. The size of the sample is so fixed in words, and each document is in it about as
+often as its probability says:
 a document that no longer fits is passed over, and ``ROUNDS`` passes fill what
 such documents leave open, the last one also with a document that takes more than is open
 if the source then ends nearer to its target.
 
 The random number comes from a digest of the seed and the id, so that reruns agree.
-A cumulative sum over a source is taken in ``BUCKETS`` ranges of the rank at once:
+A cumulative sum over a source is taken in ranges of the rank at once:
 sums by range are added up first, and a task orders one range of one source,
-never a whole source.
+never a whole source. Ranges are equal parts of the rank's logarithm, of which, whatever the probabilities, none gets more than one in
+``RANGES`` of a source's documents but by chance.
 
 Cases: rows that agree in id, source and size share a random number and count as
 one document of that many times the size, taken or left together. NULL ids are such an
 id, and a NULL source is a source of its own, last in the order of sources. A text
-without words has size 0 and takes none. Empty tables give empty results. Other
+without words has size 0 and takes none; it is due the whole copies of its source's mean. Equal ranks are
+taken by id and size. A very long text is counted whole; it may exceed what is open by half at most. Empty tables give empty results. Other
 columns are not touched.
 """
 
@@ -35,7 +39,8 @@ from spintally.sources.scratch import kept
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 SEED = "mix-1"
-BUCKETS = 1024
+RANGES = 1024
+DIGITS = 9
 ROUNDS = 4
 
 
@@ -112,17 +117,46 @@ def dealt(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED)
     named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     number = F.conv(F.substring(F.md5(named), 1, 13), 16, 10).cast("bigint")
     random = (number + F.lit(0.5)) / F.lit(2.0**52)
-    times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     df = sized.join(due, _same("source")).drop("_source")
-    df = df.withColumn("words", F.col("size") * F.col("rows")).withColumn("times", times)
-    df = df.withColumn("whole", F.least(F.floor("times"), F.lit(MOST_TIMES)).cast("bigint"))
-    chance = F.col("times") - F.col("whole")
-    key = F.when(chance > 0, (random / (1 - random)) / (chance / (1 - chance)))
-    df = df.withColumn("key", key).withColumn("open", F.col("target") - F.col("whole") * F.col("source_size"))
-    # The random number has the order of the key within a source, and is uniform whatever the chance.
-    bucket = F.least(F.floor(random * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
-    df = df.withColumn("bucket", bucket).withColumn("extra", F.lit(False))
-    return df.withColumn("open", F.when(F.col("key").isNull(), F.lit(0.0)).otherwise(F.col("open")))
+    df = df.join(_marked(kept(rates(df), "rates"), "source"), _same("source")).drop("_source")
+    times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    copies = F.when(F.col("size") > 0, _due(F.col("rate"))).otherwise(F.floor(times))
+    df = df.withColumn("words", F.col("size") * F.col("rows")).withColumn("due", F.least(copies, F.lit(MOST_TIMES)))
+    df = df.withColumn("whole", F.floor("due").cast("bigint")).withColumn("chance", F.col("due") - F.floor("due"))
+    key = F.when(F.col("chance") > 0, (random / (1 - random)) / (F.col("chance") / (1 - F.col("chance"))))
+    df = df.withColumn("key", key)
+    # A logistic random number has a density of a quarter at most.
+    by_rank, by_number = F.floor(F.log("key") * (RANGES // 4)), F.floor(random * RANGES)
+    df = df.withColumn("bucket", F.coalesce(by_rank, by_number).cast("int")).withColumn("extra", F.lit(False))
+    return df.drop("due", "rate")
+
+
+def _due(rate: Column) -> Column:
+    """A document's copies at its source's rate; rounded, so that whole numbers are met."""
+    return F.coalesce(F.round(rate * F.sqrt("size"), DIGITS), F.lit(float(MOST_TIMES)))
+
+
+def rates(sized: DataFrame) -> DataFrame:
+    """``source``, ``rate``, ``open``: copies are due at ``rate`` times the root of the size, and ``open`` words by chance.
+
+    Documents beyond ``MOST_TIMES`` are the longest ones: a prefix of the sizes from the longest down. The rate is that of the first size
+    that stays below. A task holds the different sizes of a source.
+    """
+    some = sized.filter("size > 0").groupBy("source", "size").agg(F.sum("rows").alias("n"), F.first("target").alias("target"))
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    words = F.col("size") * F.col("n")
+    before = F.coalesce(F.sum(words).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum(words * F.sqrt("size")).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    some = some.withColumn("rate", (F.col("target") - MOST_TIMES * before) / rest)
+    below = F.col("rate") * F.sqrt("size") <= MOST_TIMES
+    first = F.first(F.when(below, F.col("rate")), ignorenulls=True)
+    some = some.withColumn("rate", first.over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    due = F.least(_due(F.col("rate")), F.lit(MOST_TIMES))
+    open_words = F.sum((due - F.floor(due)) * words)
+    found = some.groupBy("source").agg(F.first("rate").alias("rate"), open_words.alias("open"))
+    return sized.select("source").distinct().join(_marked(found, "source"), _same("source"), "left").select(
+        "source", "rate", F.coalesce("open", F.lit(0.0)).alias("open")
+    )
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:

@@ -17,7 +17,8 @@ language those of all documents.
 
 Cases: a NULL or empty text has no words and fails the fixed rules. NULL is a
 language and a source of its own. Repeated rows and ids are judged one by one,
-equal rows alike. An empty table gives an empty result. Other columns are neither
+equal rows alike. Very long texts are counted whole. Only values above a fence are rejected, never ones that are too
+low: few symbols, short words or no repeats are no fault. An empty table gives an empty result. Other columns are neither
 read nor changed, whatever their names. Windows are compared by 64-bit hash
 within one text.
 """
@@ -29,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spintally.llm.text import SPACES, spaced_words, window_hashes, word_digits
+from spintally.llm.text import NOT_SPACES, spaced_words, window_hashes, word_digits
 from spintally.sources.scratch import kept
 
 MIN_WORDS = 10
@@ -49,7 +50,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the struct ``counts`` of the fixed rules' counts, and of ``n_lines``."""
     body = F.coalesce(F.col(text), F.lit(""))
-    has_word = lambda line: ~line.rlike(f"^({SPACES})?$")
+    has_word = lambda line: line.rlike(NOT_SPACES)
     df = docs.withColumn("_words", spaced_words(F.col(text)))
     df = df.withColumn("_lines", F.filter(F.split(body, "\n", -1), has_word))
     df = df.withColumn("_hashes", word_digits(F.col("_words")))

@@ -49,6 +49,15 @@ def test_quality_counts(docs):
     assert not any(r.kept for r in found if r.base_failed)
 
 
+def test_lines_of_odd_characters_have_words(spark):
+    """Characters that end a line elsewhere are words here, and stand alone on their lines."""
+    texts = [f"a\n{c}\n{c}\nb\n{c}" for c in ("\x85", "\u2028", "\u2029", "\x1c", "\u00a0")] + ["a\n \n \n\x0b\n\x0b", "\r\n\r\n"]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")
+    found = [(r.doc_id, *[r[c] for c in quality_rules.BASE], r.base_failed) for r in quality_rules.judge(df).collect()]
+    same(found, [(i, *plain.base_counts(text)) for i, text in enumerate(texts)])
+    assert sorted(row[4] for row in found) == [0, 0, 2, 2, 2, 2, 2]
+
+
 def test_quality_filter_keeps_rows_and_columns(docs):
     kept = quality_rules.filter_docs(docs)
     assert kept.columns == docs.columns
@@ -183,6 +192,44 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(plain_targets(sizes))
 
 
+def test_mix_includes_documents_as_often_as_they_are_due(spark):
+    """A document's frequency, over many alike and several seeds, is its own due number of copies."""
+    sizes, many = [1, 4, 9, 16, 16, 25, 49, 64, 100, 400], 400
+    rows = [(10_000 * s + i, "w " * sizes[i % 10], f"s{s}") for s in range(3) for i in range(10 * many)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken, words, seeds = Counter(), Counter(), ("a", "b", "c")
+    for seed in seeds:
+        for r in mixing.plan(docs, seed=seed).collect():
+            taken[r.source, r.size] += r.copies * r.rows
+            words[r.source, seed] += r.copies * r.rows * r.size
+            target = r.target if r.source == "s0" else None
+            if target:
+                wanted = target
+    chances = set()
+    for source, weight in (("s0", 5), ("s1", 2), ("s2", 1)):
+        target = wanted * weight / 5
+        low, high = 0.0, 100.0
+        for _ in range(200):
+            rate = (low + high) / 2
+            low, high = (rate, high) if many * sum(n * min(3, rate * n**0.5) for n in sizes) < target else (low, rate)
+        for n in set(sizes):
+            due = min(3, rate * n**0.5)
+            chances.add(round(due % 1, 3))
+            often = taken[source, n] / (many * sizes.count(n) * len(seeds))
+            assert often == pytest.approx(due, abs=0.06), (source, n)
+        assert [words[source, seed] for seed in seeds] == [pytest.approx(target, rel=0.002)] * len(seeds)
+    assert len(chances) > 15
+
+
+def test_mix_rates(spark):
+    """The longest documents end at three copies; a source at its limit has three of every one."""
+    rows = [("a", 100, 1, 60.0), ("a", 4, 5, 60.0), ("b", 9, 2, 54.0), ("b", 1, 1, 57.0), ("c", 0, 3, 0.0), ("d", 10_000, 1, 30_050.0), ("d", 100, 1, 30_050.0)]
+    found = {r.source: r for r in mixing.rates(spark.createDataFrame(rows, "source string, size bigint, rows bigint, target double")).collect()}
+    assert found["a"].rate == pytest.approx(60 / (100 * 10 + 20 * 2))
+    assert found["d"].rate == pytest.approx(50 / (100 * 10))
+    assert (found["c"].rate, found["c"].open) == (None, 0.0)
+
+
 def test_mix_deals_every_source_over_its_buckets(spark):
     """A lone source has no key at all; beside another one, chances come near 0 or 1."""
     for rows in ([(i, "a b", "a") for i in range(4000)], [(i, "a b", "a" if i < 4000 else "b") for i in range(4020)]):
