@@ -4,16 +4,19 @@ Texts are compared as their words, in small letters with one space between. A ph
 counts wherever its words stand one after the other. A notice of ``k`` allowed
 edits is cut into ``k + 1`` pieces, of which an occurrence within ``k`` edits must
 hold one unchanged; where a piece is found, the ``regex`` library matches the
-notice around it with bounded errors, and tells the span and the number of edits. It gives the
-best match of a stretch, so what lies before and after a match is searched again, until none is left.
+notice around it with bounded errors, and tells the span and the number of edits. It searches the piece's own
+stretch, which is too short for two notices, so a text costs a search of bounded length for each piece found, however often
+notices repeat. Of matches that overlap, the one of fewest edits stays, then the first; what it leaves of the others'
+stretches is searched again.
 
 Cases: a NULL or empty text has no words, no labels and score 0. Overlapping
-places of a phrase all count. Repeated rows are judged alike. Empty tables give
+places of a phrase all count. A notice that holds another has the labels of both. Very long texts are scanned whole. Repeated rows are judged alike. Empty tables give
 empty results. Other columns are left alone.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -33,10 +36,30 @@ PHRASES = {
 NOTICES = {
     "licensed under the apache license version 2 0": "apache",
     "permission is hereby granted free of charge": "mit",
+    "permission to use copy modify and or distribute this software": "isc",
     "redistribution and use in source and binary forms": "bsd",
+    "this software is provided as is without any express or implied warranty": "zlib",
+    "boost software license version 1 0": "boost",
+    "free and unencumbered software released into the public domain": "unlicense",
+    "licensed under the gnu general public license": "gpl",
+    "gnu lesser general public license": "lgpl",
+    "gnu affero general public license": "agpl",
+    "gnu free documentation license": "gfdl",
     "subject to the terms of the mozilla public license": "mpl",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "academic free license": "afl",
+    "artistic license 2 0": "artistic",
+    "microsoft public license": "ms-pl",
+    "python software foundation license": "psf",
+    "sil open font license": "ofl",
+    "open database license": "odbl",
     "creative commons attribution": "cc-by",
-    "licensed under the gnu general public license": "gpl",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons zero public domain dedication": "cc0",
     "copyright all rights reserved": "reserved",
 }
 EDITS_PER_CHARACTER = 0.1
@@ -58,36 +81,50 @@ class Notice:
         object.__setattr__(self, "pieces", pieces)
         object.__setattr__(self, "pattern", regex.compile(rb"(?be)(?:%s){e<=%d}" % (regex.escape(self.text).encode(), edits)))
 
-    def regions(self, text: bytes) -> list[tuple[int, int]]:
-        """Stretches around exact pieces that may hold the notice; overlapping ones are joined."""
-        found = []
+    def stretches(self, text: bytes) -> list[tuple[int, int]]:
+        """Where the notice may lie, around each exact piece."""
+        found = set()
         for offset, piece in self.pieces:
             at = text.find(piece)
             while at >= 0:
-                start = max(0, at - offset - self.edits)
-                found.append((start, at - offset + len(self.text) + self.edits))
+                start = at - offset
+                found.add((max(0, start - self.edits), min(len(text), start + len(self.text) + self.edits)))
                 at = text.find(piece, at + 1)
-        joined: list[tuple[int, int]] = []
-        for start, end in sorted(found):
-            if joined and start <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(end, joined[-1][1]))
-            else:
-                joined.append((start, end))
-        return joined
+        return sorted(found)
 
     def matches(self, text: bytes) -> list[tuple[int, int, int]]:
         """Start, end and number of edits of matches that do not overlap; none fits between them."""
-        found = []
-        for start, end in self.regions(text):
-            left = [(start, min(end, len(text)))]
-            while left:
-                start, end = left.pop()
-                m = self.pattern.search(text, start, end)
-                # The best match may have others on either side.
+        taken: list[tuple[int, int, int]] = []
+        left = self.stretches(text)
+        while left:
+            found = []
+            for start, end in left:
+                m = self.pattern.search(text, start, end) if end - start >= len(self.text) - self.edits else None
                 if m:
-                    found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                    left += [(start, m.start()), (m.end(), end)]
-        return sorted(found)
+                    found.append((sum(m.fuzzy_counts), m.start(), m.end(), (start, end)))
+            rest = []
+            for edits, start, end, stretch in sorted(found):
+                at = bisect_left(taken, (start, end, edits))
+                if at < len(taken) and taken[at] == (start, end, edits):
+                    continue
+                if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
+                    rest.append(stretch)
+                else:
+                    taken.insert(at, (start, end, edits))
+            left = sorted({part for stretch in rest for part in _outside(taken, *stretch)} - set(left))
+        return taken
+
+
+def _outside(taken: list[tuple[int, int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """What is left of a stretch between matches."""
+    parts = []
+    at = max(bisect_left(taken, (start,)) - 1, 0)
+    while at < len(taken) and taken[at][0] < end:
+        if taken[at][0] > start:
+            parts.append((start, taken[at][0]))
+        start = max(start, taken[at][1])
+        at += 1
+    return [*parts, (start, end)] if start < end else parts
 
 
 def phrase_places(spaced: bytes, phrase: bytes) -> list[int]:
@@ -108,9 +145,12 @@ def scan_text(text: str | None, notices: list[Notice]) -> tuple:
     base = sorted({label for label, found in places.items() if found})
     spans, score = [], 1.0 if base else 0.0
     for notice in notices:
+        words, counted = 0, 0
         for start, end, edits in notice.matches(spaced):
-            first = max(spaced.count(b" ", 0, start + 1) - 1, 0)
-            last = max(spaced.count(b" ", 0, end) - 1, first)
+            words += spaced.count(b" ", counted, start + 1)
+            counted = start + 1
+            first = max(words - 1, 0)
+            last = max(words + spaced.count(b" ", counted, end) - 1, first)
             spans.append((first, last, notice.label, edits))
             score = max(score, 1 - edits / len(notice.text))
     labels = sorted({*base, *(label for _, _, label, _ in spans)})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections import Counter
 
@@ -130,6 +131,7 @@ def test_urls_and_rules(spark, small):
     assert right >= 0.9 * len(held_out)
 
 
+
 def test_no_urls(spark):
     assert url_filter.report(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
     lone = url_filter.report(spark.createDataFrame([(1, None)], "page_id bigint, url string")).first()
@@ -302,6 +304,22 @@ def test_secret_spans(docs, spark):
     same([tuple(r)[:5] for r in found], wanted)
 
 
+def test_secret_model_on_held_out_strings(spark, small):
+    """Strings of the default labels that were not trained on, and ordinary strings of many kinds."""
+    model = secrets.fit(secrets.labelled(spark), secrets.ordinary_counts(small("documents")).toPandas())
+    assert model.precision >= 0.95 and model.recall >= 0.8, model
+    ordinary = ["=" * 40, "-" * 30, "usr/local/share/applications/readme", "2024-01-31-12-00-00-report", "Geschwindigkeitsbegrenzung"]
+    ordinary += ["internationalization", "some_long_identifier_name", "abababababababab", "0000000000000000", "getNumberOfRemainingItems"]
+    rng = np.random.default_rng(4)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    keys = ["".join(rng.choice(letters, n)) for n in (16, 20, 24, 32, 40)]
+    rows = [(i, f"see {text} there") for i, text in enumerate([*ordinary, *keys])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").union(small("documents").select(F.col("doc_id") + 10**6, "text"))
+    found = {r.doc_id: r.spans for r in secrets.report(docs).filter("doc_id < 1000").collect()}
+    assert [text for i, text in enumerate(ordinary) if "model" in found[i]] == []
+    assert [text for i, text in enumerate(keys, len(ordinary)) if "model" not in found[i]] == []
+
+
 def test_models_tell_random_strings(spark):
     rng = np.random.default_rng(2)
     letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
@@ -506,10 +524,30 @@ def test_phrases_and_notices(docs, spark):
     for r in found:
         assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(","))
         assert 0 <= r.score <= 1
-    own = {t: r for (_, t), r in zip(rows[-len(NOTICES) :], found[-len(NOTICES) :])} if found[-1].doc_id == len(NOTICES) - 1 else {}
-    for text, label in ((NOTICES[3], "apache"), (NOTICES[4], "mit")):
-        if own:
-            assert label in own[text].labels and own[text].score > 0.9
+
+
+def test_labels_of_notices(spark):
+    rows = [(i, f"Here it says: {text.title()}, and more.") for i, text in enumerate(licenses.NOTICES)]
+    rows += [(1000, NOTICES[3]), (1001, NOTICES[4])]
+    found = {r.doc_id: r for r in licenses.report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, label in enumerate(licenses.NOTICES.values()):
+        assert label in found[i].labels.split(",") and found[i].score == 1
+    assert len(set(licenses.NOTICES.values())) >= 20
+    for i, label in ((1000, "apache"), (1001, "mit")):
+        assert label in found[i].labels.split(",") and found[i].score > 0.9
+
+
+def test_repeated_notices_take_linear_time():
+    notices = [licenses.Notice(text, label) for text, label in licenses.NOTICES.items()]
+
+    def seconds(times: int) -> float:
+        start = time.perf_counter()
+        found = licenses.scan_text("permission is herby granted free of charge " * times, notices)
+        assert found[-1].count("mit:") == times
+        return time.perf_counter() - start
+
+    seconds(50)
+    assert seconds(1600) < 8 * seconds(400)
 
 
 def test_fuzzy_notices_find_all_within_the_edits():
