@@ -2,11 +2,10 @@
 
 Two generative models are counted over words, word pairs and words without case and punctuation: one of the raw
 text, from all documents, and one of the target, from documents labelled good and
-not toxic. Counts are a table of 64-bit n-gram hashes, which grows with the corpus. An n-gram's
-log ratio compares its count in the target with the one that the raw text lets expect; both get ``SHRINK``,
-so n-grams that are seen seldom tell little. A text is cut into passages of ``CHUNK`` words and pairs, none left
-out; a passage's log weight is the sum over its n-grams, and a document's is that of its worst passage.
-Documents are drawn without replacement in proportion to their weights by
+not toxic. An n-gram's log ratio compares its count in the target with the one that the raw text lets expect;
+both get a number that shrinks it, so n-grams that are seen seldom tell little. A text is cut into passages of
+``CHUNK`` words and pairs, none left out; a passage's log weight is the sum over its n-grams, and a document's is
+that of its worst passage. Documents are drawn without replacement in proportion to their weights by
 Gumbel top-k: each log weight gets Gumbel noise, and the ``k`` largest are kept.
 ``k`` is the number of documents that weigh as much as all but the lightest
 hundredth of the target's.
@@ -18,44 +17,54 @@ have log ratio 0. The target's documents are a bounded sample, the first
 comes from a digest of the seed and the id, so reruns agree; log ratios are summed as whole
 numbers of ``UNIT``, so their order does not matter.
 
-N-grams that more than one in ``COMMON`` documents has are looked up inside tasks; there are at most ``COMMON`` times
-a document's mean number of them. The others are joined with the table.
+Every document is weighed with each number of ``SHRINKS``. The one is taken that keeps the least part of the labelled
+bad or toxic documents, as judged by one half of the labels; :func:`kept_shares` reports on the other half.
+With no bad or no good label in the first half it is the largest.
+
+N-grams go from task to task packed. Documents are dealt into batches of about ``BATCH_BYTES`` by a hash. A batch's distinct
+n-grams are sorted, cut by range into shards, and sent as compressed differences with their counts; a shard's task adds up
+what all batches sent and answers each with the sums, in the same order. So each task holds one batch or one shard, whose sizes
+are set from counts over the whole corpus, and an n-gram's hash has ``SPARE_BITS`` more than tell all distinct ones apart,
+whose number is estimated from the least ``SKETCH`` hashes. Texts move once, for both uses of a batch.
 
 The k-th largest key is found from histograms of a few thousand bins that narrow down, never
 by sorting all keys in one place.
 
-Cases: a NULL or empty text has log weight 0. Equal keys are kept or left together.
+Cases: a NULL or empty text has log weight 0. A very long text is one batch's, as a whole. Equal keys are kept or left together.
 Without labels the models are alike and all documents are kept. Empty tables give empty results.
-Repeated ids share their noise. Other columns are left alone.
+Repeated ids share their noise; rows alike in id and text are weighed as one and given back as often as they came.
+Other columns are left alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
-import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spintally.llm.text import hashed, letter_tokens, rolling, signed, spaced_tokens
+from spintally.llm.text import hashed, letter_tokens, mixed, rolling, signed, spaced_tokens
 from spintally.sources.scratch import kept
 
-SHRINK = 16.0
+SHRINKS = (1.0, 2.0, 4.0, 8.0, 16.0)
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
 CHUNK = 256
-COMMON = 1000
-COUNT_AT_ONCE = 1 << 20
+BATCH_BYTES = 1 << 23
+SHARD_GRAMS = 1 << 23
+SPARE_BITS = 16
+SKETCH = 1024
 UNIT = 2.0**-20
-ALL = 0  # stands for all n-grams in the table
 SEED = "quality-1"
 BINS = 4096
 
 
 def passage_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams, each kind for itself, and the passage that each starts in."""
+    """63-bit hashes of all n-grams, each kind for itself, and the passage that each starts in."""
     tokens, size = spaced_tokens(text), CHUNK // 2
     words = hashed(tokens)
     letters = [letter_tokens(b" ".join(tokens[i : i + size]).decode()) for i in range(0, len(tokens), size)]
@@ -63,10 +72,9 @@ def passage_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     kinds = [rolling(words, 1), rolling(words, 2), rolling(plain, 1)]
     at = [np.arange(len(kind)) // size for kind in kinds[:2]]
     at.append(np.repeat(np.arange(len(letters)), [len(some) for some in letters]))
-    # Adding a number of its own to each kind keeps words, pairs and plain words apart.
-    grams = signed(np.concatenate([kind + np.uint64(i) for i, kind in enumerate(kinds)]))
-    grams[grams == ALL] = 1
-    return grams, np.concatenate(at).astype(np.int64)
+    # Adding a number of its own to each kind keeps words, pairs and plain words apart; the mix carries it to all bits.
+    grams = mixed(mixed(np.concatenate([kind + np.uint64(i) for i, kind in enumerate(kinds)])))
+    return signed(grams >> np.uint64(1)), np.concatenate(at).astype(np.int64)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -75,115 +83,151 @@ def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
     return marked.select("doc_id", "text", F.coalesce("_wanted", F.lit(False)).alias("wanted"))
 
 
-def model_counts(marked: DataFrame) -> DataFrame:
-    """``gram`` with its number of ``docs`` and its counts in ``raw`` text and in the ``target``; ``ALL`` has the sums."""
-
-    def summed(grams: list, own: list, wanted: list) -> pd.DataFrame:
-        known, place = np.unique(np.concatenate(grams), return_inverse=True)
-        raw = np.concatenate(own)
-        target = raw * np.repeat(wanted, [len(some) for some in own])
-        sums = [np.bincount(place, x, len(known)).astype(np.int64) for x in (np.ones(len(raw)), raw, target)]
-        columns = [known, *sums]
-        everything = [ALL, len(grams), raw.sum(), target.sum()]
-        return pd.DataFrame({n: np.append(x, y) for n, x, y in zip(("gram", "docs", "raw", "target"), columns, everything)})
+def surveyed(marked: DataFrame) -> tuple[int, int, int, int]:
+    """Bytes of all texts, n-grams in them and in the target's, and about how many of them are distinct."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, own, wanted, held = [], [], [], 0
+    def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least, size, raw, target = np.empty(0, np.int64), 0, 0, 0
         for batch in batches:
-            for text, good in zip(batch["text"], batch["wanted"]):
-                some, times = np.unique(passage_grams(text)[0], return_counts=True)
-                grams.append(some)
-                own.append(times)
-                wanted.append(bool(good))
-                held += len(some)
-                if held >= COUNT_AT_ONCE:
-                    yield summed(grams, own, wanted)
-                    grams, own, wanted, held = [], [], [], 0
-        if grams:
-            yield summed(grams, own, wanted)
-
-    found = marked.select("text", "wanted").mapInPandas(count, "gram bigint, docs bigint, raw bigint, target bigint")
-    return found.groupBy("gram").agg(*[F.sum(name).alias(name) for name in ("docs", "raw", "target")])
-
-
-def log_ratios(raw: np.ndarray, target: np.ndarray, rate: float) -> np.ndarray:
+            for text, wanted in zip(batch["text"], batch["wanted"]):
+                grams = passage_grams(text)[0]
+                size, raw, target = size + len((text or "").encode()), raw + len(grams), target + len(grams) * bool(wanted)
+                if len(least) == SKETCH:
+                    grams = grams[grams < least[-1]]
+                if len(grams):
+                    least = np.unique(np.concatenate([least, grams]))[:SKETCH]
+        sums = pd.DataFrame({"gram": pd.array([None], "Int64"), "size": [size], "raw": [raw], "target": [target]})
+        hashes = pd.DataFrame({"gram": pd.array(least, "Int64"), "size": 0, "raw": 0, "target": 0})
+        yield pd.concat([sums, hashes])
+
+    found = kept(marked.select("text", "wanted").mapInPandas(survey, "gram bigint, size bigint, raw bigint, target bigint"), "survey")
+    sums = found.agg(*[F.coalesce(F.sum(name), F.lit(0)) for name in ("size", "raw", "target")]).first()
+    least = found.select("gram").filter("gram is not null").distinct().orderBy("gram").limit(SKETCH)
+    n, last = least.agg(F.count("*"), F.max("gram")).first()
+    return (*sums, n if n < SKETCH else ceil((n - 1) * 2**63 / last))
+
+
+def packed(rising: np.ndarray, *counts: np.ndarray) -> bytes:
+    """Rising numbers as differences, and others beside them, each byte of all of them together."""
+    columns = [np.diff(rising, prepend=0), *counts]
+    planes = [np.ascontiguousarray(column, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for column in columns]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(columns, 8, -1)
+    numbers = [np.ascontiguousarray(plane.T).view("<i8").ravel() for plane in planes]
+    return [np.cumsum(numbers[0]), *numbers[1:]]
+
+
+def _texts(column: pd.Series) -> list[str | None]:
+    return [None if blob is None else zstandard.decompress(blob).decode() for blob in column]
+
+
+def _compressed(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if text is None else zstandard.compress(text.encode(), 3) for text in texts], dtype=object)
+
+
+def batched(marked: DataFrame, batches: int) -> DataFrame:
+    """Each row once, with its ``copies``, its ``batch`` and its text compressed; ids as text, so that NULL changes none."""
+    rows = marked.withColumn("copies", F.lit(1))
+    if not marked.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        rows = marked.groupBy("doc_id", "text", "wanted").agg(F.count("*").cast("int").alias("copies"))
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch")
+    return rows.select(batch, F.col("doc_id").cast("string"), F.pandas_udf(_compressed, "binary")("text").alias("text"), "wanted", "copies")
+
+
+def answered(rows: DataFrame, bits: int, shards: int) -> DataFrame:
+    """For each ``batch`` and ``shard`` the batch's n-grams of ``bits`` bits, with counts in raw text and in the target, packed."""
+    edges = [ceil(i * 2**bits / shards) for i in range(1, shards)]
+
+    def sent(batch: pd.DataFrame) -> pd.DataFrame:
+        own = [passage_grams(text)[0] >> (63 - bits) for text in _texts(batch["text"])]
+        sizes = [len(some) for some in own]
+        grams, place = np.unique(np.concatenate(own), return_inverse=True)
+        raw = np.repeat(batch["copies"].to_numpy(np.int64), sizes)
+        target = raw * np.repeat(batch["wanted"].to_numpy(bool), sizes)
+        columns = [grams, *[np.bincount(place, x, len(grams)).astype(np.int64) for x in (raw, target)]]
+        cuts = [0, *np.searchsorted(grams, np.array(edges, np.int64)), len(grams)]
+        out = [(i, packed(*[c[a:b] for c in columns])) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        return pd.DataFrame(out, columns=["shard", "grams"]).assign(batch=batch["batch"].iloc[0])
+
+    def answer(shard: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpacked(blob, 3) for blob in shard["grams"]]
+        grams, place = np.unique(np.concatenate([part[0] for part in parts]), return_inverse=True)
+        sums = [np.zeros(len(grams), np.int64) for _ in range(2)]
+        cuts = np.cumsum([0, *[len(part[0]) for part in parts]])
+        for part, a, b in zip(parts, cuts, cuts[1:]):
+            for total, own in zip(sums, part[1:]):
+                total[place[a:b]] += own
+        blobs = [packed(part[0], *[total[place[a:b]] for total in sums]) for part, a, b in zip(parts, cuts, cuts[1:])]
+        return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "grams": blobs})
+
+    found = rows.groupBy("batch").applyInPandas(sent, "batch bigint, shard int, grams binary")
+    return found.groupBy("shard").applyInPandas(answer, "batch bigint, shard int, grams binary")
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, rate: float, shrink: float) -> np.ndarray:
     """Whole numbers of ``UNIT``."""
-    return np.rint(np.log((target + SHRINK) / (raw * rate + SHRINK)) / UNIT)
-
-
-def passage_rows(marked: DataFrame, common: pd.DataFrame, rate: float) -> DataFrame:
-    """A row a passage with the sum over its ``common`` n-grams, and one for each other n-gram in it.
-
-    ``here`` is an n-gram's count in the passage, 0 for a passage's own row, and ``own`` that in the document.
-    """
-    common = common.sort_values("gram")
-    shared = marked.sparkSession.sparkContext.broadcast([common[name].to_numpy() for name in ("gram", "raw", "target")])
-    kind = marked.schema["doc_id"].dataType.simpleString()
-    columns = ("doc_id", "doc", "wanted", "passage", "gram", "here", "own", "part")
-
-    def rows(doc_id: object, text: str | None, wanted: bool, known: list) -> pd.DataFrame:
-        grams, passages = passage_grams(text)
-        some, place, own = np.unique(grams, return_inverse=True, return_counts=True)
-        pairs, here = np.unique(passages * max(len(some), 1) + place, return_counts=True)
-        passage, place = np.divmod(pairs, max(len(some), 1))
-        at = np.minimum(np.searchsorted(known[0], some), max(len(known[0]) - 1, 0))
-        inside = known[0][at] == some if len(known[0]) else np.zeros(len(some), bool)
-        ratio = np.zeros(len(some))
-        ratio[inside] = log_ratios(known[1][at[inside]] - own[inside], known[2][at[inside]] - own[inside] * wanted, rate)
-        n = int(passages.max(initial=0)) + 1
-        part = np.bincount(passage, here * ratio[place], n).astype(np.int64)
-        rare = ~inside[place]
-        doc = np.uint64(xxhash.xxh3_64_intdigest((text or "").encode())).astype(np.int64)
-        # A passage's own row may go to any task: it takes part in the join with a count of 0.
-        spread = signed(hashed([b"%d %d" % (doc, i) for i in range(n)]))
-        zeros = np.zeros(rare.sum(), np.int64)
-        out = {
-            "passage": np.append(np.arange(n), passage[rare]),
-            "gram": np.append(spread, some[place[rare]]),
-            "here": np.append(np.zeros(n, np.int64), here[rare]),
-            "own": np.append(np.zeros(n, np.int64), own[place[rare]]),
-            "part": np.append(part, zeros),
-        }
-        return pd.DataFrame(out).assign(doc_id=doc_id, doc=doc, wanted=wanted)
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids = batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None)
-            held, size = [], 0
-            for doc_id, text, wanted in zip(ids, batch["text"], batch["wanted"]):
-                held.append(rows(doc_id, text, bool(wanted), shared.value))
-                size += len(held[-1])
-                if size >= COUNT_AT_ONCE // 8:
-                    yield pd.concat(held)[list(columns)]
-                    held, size = [], 0
-            if held:
-                yield pd.concat(held)[list(columns)]
-
-    schema = f"doc_id {kind}, doc bigint, wanted boolean, passage int, gram bigint, here int, own int, part bigint"
-    return marked.select("doc_id", "text", "wanted").mapInPandas(deal, schema)
+    return np.rint(np.log((target + shrink) / (raw * rate + shrink)) / UNIT)
 
 
 def weights(marked: DataFrame) -> DataFrame:
-    """Every document's ``log_weight``, by models that have not seen it."""
-    counts = kept(model_counts(marked).filter(f"docs > 1 or gram = {ALL}"), "grams")
-    whole = counts.filter(F.col("gram") == ALL).first()
-    rate = whole.target / whole.raw if whole and whole.raw else 0.0
-    often = (whole.docs if whole else 0) / COMMON
-    grams = counts.filter(F.col("gram") != ALL)
-    common = grams.filter(F.col("docs") > often).toPandas()  # bounded: see above
-    rest = grams.filter(F.col("docs") <= often).select("gram", "raw", "target")
-    joined = passage_rows(marked, common, rate).join(rest, "gram", "left").filter("here = 0 or raw is not null")
-    own = F.when(F.col("wanted"), F.col("own")).otherwise(0)
-    ratio = F.log((F.col("target") - own + SHRINK) / ((F.col("raw") - F.col("own")) * rate + SHRINK))
-    score = F.col("part") + F.coalesce(F.rint(ratio / UNIT).cast("bigint"), F.lit(0)) * F.col("here")
-    passages = joined.groupBy("doc_id", "doc", "wanted", "passage").agg(
-        F.sum(score).alias("score"), F.sum(F.when(F.col("here") == 0, 1)).alias("copies")
-    )
-    # Rows alike in id and text were summed as one.
-    found = passages.groupBy("doc_id", "doc", "wanted").agg(
-        F.min(F.col("score") / F.col("copies") * UNIT).alias("log_weight"), F.max("copies").alias("copies")
-    )
-    return found.select("doc_id", "wanted", "log_weight", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
+    """Every document's log weights, one for each of ``SHRINKS``, by models that have not seen it."""
+    size, raw, target, distinct = surveyed(marked)
+    rate = target / raw if raw else 0.0
+    bits = min(63, max(40, ceil(log2(distinct + 1)) + SPARE_BITS))
+    rows = batched(marked, max(1, ceil(size / BATCH_BYTES)))
+    answers = answered(rows, bits, max(1, ceil(raw / SHARD_GRAMS)))
+
+    def score(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        own = [passage_grams(text) for text in _texts(batch["text"])]
+        sizes = [len(grams) for grams, _ in own]
+        passages = np.array([int(at.max(initial=0)) + 1 for _, at in own], np.int64)
+        first = np.cumsum(passages) - passages
+        passage = np.concatenate([at for _, at in own]) + np.repeat(first, sizes)
+        grams, place = np.unique(np.concatenate([grams for grams, _ in own]) >> (63 - bits), return_inverse=True)
+        parts = [unpacked(blob, 3) for blob in answers.sort_values("shard")["grams"]]
+        known, raw, target = map(np.concatenate, zip(*parts)) if parts else [np.empty(0, np.int64)] * 3
+        if not np.array_equal(known, grams):
+            raise ValueError("a batch was answered for other n-grams than its own")
+        pairs, at, times = np.unique(np.repeat(np.arange(len(own)), sizes) * len(grams) + place, return_inverse=True, return_counts=True)
+        doc, gram = np.divmod(pairs, max(1, len(grams)))
+        wanted = batch["wanted"].to_numpy(bool)
+        raw, target = raw[gram] - times, target[gram] - times * wanted[doc]
+        out = {"doc_id": batch["doc_id"], "wanted": wanted, "copies": batch["copies"]}
+        for i, shrink in enumerate(SHRINKS):
+            sums = np.bincount(passage, log_ratios(raw, target, rate, shrink)[at], passages.sum())
+            out[f"w{i}"] = np.minimum.reduceat(sums, first) * UNIT
+        return pd.DataFrame(out)
+
+    schema = "doc_id string, wanted boolean, copies int" + "".join(f", w{i} double" for i in range(len(SHRINKS)))
+    found = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(score, schema)
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+    return each.withColumn("doc_id", F.col("doc_id").cast(marked.schema["doc_id"].dataType))
+
+
+def best_shrink(scored: DataFrame, labelled: DataFrame) -> int:
+    """The place in ``SHRINKS`` of the one that keeps the least part of bad documents, by half the labels."""
+    known = scored.join(labelled.filter(~_reported()).groupBy("doc_id").agg(F.every("good").alias("good")), "doc_id")
+    names = [f"w{i}" for i in range(len(SHRINKS))]
+    lightest = known.filter("good").agg(*[F.percentile_approx(name, LIGHTEST, 10_000).alias(name) for name in names]).first()
+    if lightest[0] is None:
+        return len(SHRINKS) - 1
+    above = [F.avg((F.col(name) >= F.lit(lightest[name])).cast("int")) for name in names]
+    shares = known.filter("not good").agg(*above).first()
+    return max(range(len(SHRINKS)), key=lambda i: (-(shares[i] or 0.0), i))
+
+
+def _reported() -> Column:
+    """The half of the labels that the choice of the shrinking number does not see."""
+    return F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 1
+
+
+def kept_shares(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """The part of documents kept, by label, of the labels that chose nothing."""
+    known = found.join(labels.filter(_reported()).select("doc_id", "quality", "toxic"), "doc_id")
+    return known.groupBy("quality", "toxic").agg(F.count("*").alias("docs"), F.avg(F.col("kept").cast("int")).alias("share"))
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> float:
@@ -220,7 +264,9 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     target = target.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS)
     target = kept(target, "target")
     marked = _marked(docs, target)
-    scored = kept(weights(marked).withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"))), "weights")
+    scored = kept(weights(marked), "weights")
+    weight = F.col(f"w{best_shrink(scored, labelled)}").alias("log_weight")
+    scored = scored.select("doc_id", "wanted", weight, (weight + gumbel(F.col("doc_id"))).alias("key"))
     own = scored.filter("wanted")
     n = own.count()
     lightest = kth_largest(own, "log_weight", n - int(LIGHTEST * (n - 1))) if n else None

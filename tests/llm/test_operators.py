@@ -378,7 +378,9 @@ def test_classifier_tells_good_from_bad(spark):
 def test_classifier_on_odd_tables(docs, small):
     found = quality_classifier.report(docs, small("labels")).collect()
     assert Counter(r.doc_id for r in found) == Counter(i for i, _ in texts(docs))
-    assert all(r.log_weight == 0 for r, (_, t) in zip(found, [(0, None)] * 0))
+    blank = Counter(i for i, text in texts(docs) if not (text or "").split())
+    said = Counter(r.doc_id for r in found if r.log_weight == 0)
+    assert not blank - said
     same(found, quality_classifier.report(docs.repartition(4), small("labels")).collect())
 
 
@@ -399,14 +401,29 @@ def test_classifier_counts_more_ngrams_than_any_fixed_table(spark):
         words.update(some)
         pairs.update(zip(some, some[1:]))
         docs.update(set(some))
-    found = quality_classifier.model_counts(marked).filter("gram <> 0")
     kinds = 2  # as they are, and without case and punctuation
-    assert found.count() == kinds * len(words) + len(pairs)
-    assert found.filter("docs = 2").count() == kinds * sum(n == 2 for n in docs.values())
-    assert found.agg(F.sum("raw")).first()[0] == kinds * words.total() + pairs.total()
+    total = kinds * words.total() + pairs.total()
+    size, raw, target, distinct = quality_classifier.surveyed(marked)
+    assert (size, raw) == (sum(len(text) for _, text, _ in rows), total) and 2 * target == raw
+    assert abs(distinct / (kinds * len(words) + len(pairs)) - 1) < 0.15
+    sums = {}
+    for row in quality_classifier.answered(quality_classifier.batched(marked, 7), 63, 5).collect():
+        for gram, *counts in zip(*quality_classifier.unpacked(row.grams, 3)):
+            assert sums.setdefault(gram, counts) == counts
+    assert len(sums) == kinds * len(words) + len(pairs)
+    assert [sum(x) for x in zip(*sums.values())] == [raw, target]
+    assert sum(n == 2 for n, _ in sums.values()) == kinds * sum(n == 2 for n in words.values()) + sum(n == 2 for n in pairs.values())
+
+
+def test_classifier_packs_numbers_of_any_size(spark):
+    rng = np.random.default_rng(2)
+    rising = np.unique(rng.integers(0, 2**63 - 1, 1000))
+    for columns in ([rising, rising[::-1]], [np.array([0, 2**63 - 1]), np.array([2**63 - 1, 0])], [rising[:0], rising[:0]]):
+        found = quality_classifier.unpacked(quality_classifier.packed(*columns), 2)
+        assert all(np.array_equal(a, b) for a, b in zip(found, columns))
 
 
-def plain_log_weights(rows, wanted):
+def plain_log_weights(rows, wanted, more):
     """Worst passages by strings, without hashes."""
     size = quality_classifier.CHUNK // 2
 
@@ -422,7 +439,7 @@ def plain_log_weights(rows, wanted):
     own = [Counter(g for _, g in grams(text)) for _, text in rows]
     raw = sum(own, Counter())
     target = sum((c for c, (i, _) in zip(own, rows) if i in wanted), Counter())
-    rate, more = target.total() / raw.total(), quality_classifier.SHRINK
+    rate = target.total() / raw.total()
     for (i, text), mine in zip(rows, own):
         passages = Counter({0: 0.0})
         for at, g in grams(text):
@@ -443,14 +460,17 @@ def test_classifier_weighs_the_worst_passage(spark):
         rows.append((i, " ".join(some)))
     rows += [rows[9], rows[9], (None, rows[3][1]), (1000, None), (1001, "")]
     labels = [(i, 1, int(i % 8 < 2)) for i in range(0, 400) if i % 3]
-    found = quality_classifier.report(
-        spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
-    ).collect()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     wanted = {i for i, _, toxic in labels if not toxic}
-    got = sorted((r.doc_id is None, r.doc_id or 0, r.log_weight) for r in found)
-    right = sorted((i is None, i or 0, w) for i, w in plain_log_weights(rows, wanted))
-    assert [g[:2] for g in got] == [r[:2] for r in right]
-    assert max(abs(g[2] - r[2]) for g, r in zip(got, right)) < 0.01
+    marked = quality_classifier._marked(docs, spark.createDataFrame([(i,) for i in wanted], "doc_id bigint"))
+    weighed = quality_classifier.weights(marked).collect()
+    for i, shrink in enumerate(quality_classifier.SHRINKS):
+        got = sorted((r.doc_id is None, r.doc_id or 0, r[f"w{i}"]) for r in weighed)
+        right = sorted((i is None, i or 0, w) for i, w in plain_log_weights(rows, wanted, shrink))
+        assert [g[:2] for g in got] == [r[:2] for r in right]
+        assert max(abs(g[2] - r[2]) for g, r in zip(got, right)) < 0.01
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    found = quality_classifier.report(docs, labels).collect()
     for long in (0, 1):
         bad = [r.kept for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id % 8 == long]
         good = [r.kept for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id % 8 > 1 and r.doc_id % 2 == long]
