@@ -24,8 +24,8 @@ With no bad or no good label in the first half it is the largest.
 N-grams go from task to task packed. Documents are dealt into batches of about ``BATCH_BYTES`` by a hash. A batch's distinct
 n-grams are sorted, cut by range into shards, and sent as compressed differences with their counts; a shard's task adds up
 what all batches sent and answers each with the sums, in the same order. So each task holds one batch or one shard, whose sizes
-are set from counts over the whole corpus, and an n-gram's hash has ``SPARE_BITS`` more than tell all distinct ones apart,
-whose number is estimated from the least ``SKETCH`` hashes. Texts move once, for both uses of a batch.
+are set from counts over the whole corpus. An n-gram's hash has ``SPARE_BITS`` more than number all n-grams
+of the corpus, and ``LEAST_BITS`` at least. Texts move once, for both uses of a batch.
 
 The k-th largest key is found from histograms of a few thousand bins that narrow down, never
 by sorting all keys in one place.
@@ -38,43 +38,118 @@ Other columns are left alone.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
-from math import ceil, log2
+from math import ceil
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spintally.llm.text import hashed, letter_tokens, mixed, rolling, signed, spaced_tokens
+from spintally.llm.text import LETTERS_ONLY, STEP, mixed, signed, spaced_tokens
 from spintally.sources.scratch import kept
 
-SHRINKS = (1.0, 2.0, 4.0, 8.0, 16.0)
+SHRINKS = (1.0, 2.0, 4.0, 16.0)
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
 CHUNK = 256
-BATCH_BYTES = 1 << 23
-SHARD_GRAMS = 1 << 23
-SPARE_BITS = 16
-SKETCH = 1024
+BATCH_BYTES = 3 << 23
+SHARD_GRAMS = 1 << 22
+WORDS_AT_ONCE = 1 << 17
+MERGE_AT = 1 << 20
+SPARE_BITS = 6
+LEAST_BITS = 36
 UNIT = 2.0**-20
 SEED = "quality-1"
 BINS = 4096
 
 
-def passage_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """63-bit hashes of all n-grams, each kind for itself, and the passage that each starts in."""
-    tokens, size = spaced_tokens(text), CHUNK // 2
-    words = hashed(tokens)
-    letters = [letter_tokens(b" ".join(tokens[i : i + size]).decode()) for i in range(0, len(tokens), size)]
-    plain = hashed([word for some in letters for word in some])
-    kinds = [rolling(words, 1), rolling(words, 2), rolling(plain, 1)]
-    at = [np.arange(len(kind)) // size for kind in kinds[:2]]
-    at.append(np.repeat(np.arange(len(letters)), [len(some) for some in letters]))
-    # Adding a number of its own to each kind keeps words, pairs and plain words apart; the mix carries it to all bits.
-    grams = mixed(mixed(np.concatenate([kind + np.uint64(i) for i, kind in enumerate(kinds)])))
-    return signed(grams >> np.uint64(1)), np.concatenate(at).astype(np.int64)
+class Words(dict):
+    """Numbers the words of a batch as they come, and hashes each word, and the plain words in it, once."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.hashes, self.plain, self.sizes = array("Q"), array("Q"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.translate(LETTERS_ONLY).split()
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        self.plain.extend(map(xxhash.xxh3_64_intdigest, plain))
+        self.sizes.append(len(plain))
+        self[word] = number = len(self)
+        return number
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        tokens = spaced_tokens(text)
+        return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
+
+
+def _starts(inside: np.ndarray) -> int:
+    return int(np.count_nonzero(inside[:1]) + np.count_nonzero(inside[1:] & ~inside[:-1]))
+
+
+def gram_count(text: bytes) -> int:
+    """The number of a text's n-grams, of all kinds."""
+    letters = np.frombuffer(text.translate(LETTERS_ONLY), np.uint8) != 32
+    text = np.frombuffer(text, np.uint8)
+    words = _starts((text != 32) & ((text < 9) | (text > 13)))
+    return words + max(0, words - 1) + _starts(letters)
+
+
+def passage_grams(known: Words, ids: list[np.ndarray], bits: int) -> Iterator[tuple]:
+    """The n-grams of some documents at a time, as hashes of ``bits`` bits.
+
+    Gives the first document's place, n-grams, the document of each, counted from the first one, its passage, counted likewise,
+    and each document's number of passages. A document is never cut.
+    """
+
+    def kind(hashes: np.ndarray, number: int) -> np.ndarray:
+        # Adding a number of its own to each kind keeps words, pairs and plain words apart; the mix carries it to all bits.
+        return signed(mixed(mixed(mixed(hashes) + np.uint64(number))) >> np.uint64(64 - bits))
+
+    hashes, plain_sizes = np.array(known.hashes, np.uint64), np.array(known.sizes, np.int64)
+    words, plain = kind(hashes, 0), kind(np.array(known.plain, np.uint64), 2)
+    plain_starts = np.cumsum(plain_sizes) - plain_sizes
+    lengths, size = np.array([len(own) for own in ids], np.int64), CHUNK // 2
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // WORDS_AT_ONCE, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(ids)]):
+        own, n = np.concatenate(ids[a:b]), lengths[a:b]
+        doc = np.repeat(np.arange(b - a), n)
+        passages = np.maximum(1, -(-n // size))
+        passage = (np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)) // size
+        passage += np.repeat(np.cumsum(passages) - passages, n)
+        within = np.flatnonzero(doc[1:] == doc[:-1])
+        pairs = kind(hashes[own[within]] * STEP + hashes[own[within + 1]], 1)
+        each = plain_sizes[own]
+        index = np.repeat(plain_starts[own] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        grams = np.concatenate([words[own], pairs, plain[index]])
+        at = [np.concatenate([x, x[within], np.repeat(x, each)]) for x in (doc, passage)]
+        yield a, grams, *at, passages
+
+
+def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Distinct n-grams in order, and the sums of the counts beside them."""
+    grams = np.concatenate([part[0] for part in parts])
+    order = np.argsort(grams)
+    grams = grams[order]
+    first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else order
+    counts = (np.concatenate(own)[order] for own in list(zip(*parts))[1:])
+    return [grams[first], *[np.add.reduceat(own, first) if len(own) else own for own in counts]]
+
+
+def batch_counts(batch: pd.DataFrame, known: Words, ids: list[np.ndarray], bits: int) -> list[np.ndarray]:
+    """A batch's distinct n-grams in order, with their counts in raw text and in the target."""
+    copies, wanted = batch["copies"].to_numpy(np.int64), batch["wanted"].to_numpy(bool)
+    held: list[list[np.ndarray]] = []
+    for a, grams, doc, _, _ in passage_grams(known, ids, bits):
+        raw = copies[a + doc]
+        held.append(summed([[grams, raw, raw * wanted[a + doc]]]))
+        if sum(len(part[0]) for part in held[1:]) >= MERGE_AT:
+            held = [summed(held)]
+    return summed(held)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -83,49 +158,39 @@ def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
     return marked.select("doc_id", "text", F.coalesce("_wanted", F.lit(False)).alias("wanted"))
 
 
-def surveyed(marked: DataFrame) -> tuple[int, int, int, int]:
-    """Bytes of all texts, n-grams in them and in the target's, and about how many of them are distinct."""
+def surveyed(marked: DataFrame) -> tuple[int, int, int]:
+    """Bytes of all texts, n-grams in them and in the target's."""
 
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        least, size, raw, target = np.empty(0, np.int64), 0, 0, 0
+        size, raw, target = 0, 0, 0
         for batch in batches:
             for text, wanted in zip(batch["text"], batch["wanted"]):
-                grams = passage_grams(text)[0]
-                size, raw, target = size + len((text or "").encode()), raw + len(grams), target + len(grams) * bool(wanted)
-                if len(least) == SKETCH:
-                    grams = grams[grams < least[-1]]
-                if len(grams):
-                    least = np.unique(np.concatenate([least, grams]))[:SKETCH]
-        sums = pd.DataFrame({"gram": pd.array([None], "Int64"), "size": [size], "raw": [raw], "target": [target]})
-        hashes = pd.DataFrame({"gram": pd.array(least, "Int64"), "size": 0, "raw": 0, "target": 0})
-        yield pd.concat([sums, hashes])
-
-    found = kept(marked.select("text", "wanted").mapInPandas(survey, "gram bigint, size bigint, raw bigint, target bigint"), "survey")
-    sums = found.agg(*[F.coalesce(F.sum(name), F.lit(0)) for name in ("size", "raw", "target")]).first()
-    least = found.select("gram").filter("gram is not null").distinct().orderBy("gram").limit(SKETCH)
-    n, last = least.agg(F.count("*"), F.max("gram")).first()
-    return (*sums, n if n < SKETCH else ceil((n - 1) * 2**63 / last))
-
-
-def packed(rising: np.ndarray, *counts: np.ndarray) -> bytes:
-    """Rising numbers as differences, and others beside them, each byte of all of them together."""
-    columns = [np.diff(rising, prepend=0), *counts]
+                text = (text or "").encode()
+                n = gram_count(text)
+                size, raw, target = size + len(text), raw + n, target + n * bool(wanted)
+        yield pd.DataFrame({"size": [size], "raw": [raw], "target": [target]})
+
+    found = marked.select("text", "wanted").mapInPandas(survey, "size bigint, raw bigint, target bigint")
+    return tuple(found.agg(*[F.coalesce(F.sum(name), F.lit(0)) for name in ("size", "raw", "target")]).first())
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers in columns, each byte of all of them together."""
     planes = [np.ascontiguousarray(column, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for column in columns]
     return zstandard.compress(b"".join(planes), 1)
 
 
 def unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
     planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(columns, 8, -1)
-    numbers = [np.ascontiguousarray(plane.T).view("<i8").ravel() for plane in planes]
-    return [np.cumsum(numbers[0]), *numbers[1:]]
+    return [np.ascontiguousarray(plane.T).view("<i8").ravel() for plane in planes]
 
 
-def _texts(column: pd.Series) -> list[str | None]:
-    return [None if blob is None else zstandard.decompress(blob).decode() for blob in column]
+def _texts(column: pd.Series) -> Iterator[str | None]:
+    return (None if blob is None else zstandard.decompress(blob).decode() for blob in column)
 
 
 def _compressed(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if text is None else zstandard.compress(text.encode(), 3) for text in texts], dtype=object)
+    return pd.Series([None if text is None else zstandard.compress(text.encode(), 5) for text in texts], dtype=object)
 
 
 def batched(marked: DataFrame, batches: int) -> DataFrame:
@@ -138,33 +203,28 @@ def batched(marked: DataFrame, batches: int) -> DataFrame:
 
 
 def answered(rows: DataFrame, bits: int, shards: int) -> DataFrame:
-    """For each ``batch`` and ``shard`` the batch's n-grams of ``bits`` bits, with counts in raw text and in the target, packed."""
-    edges = [ceil(i * 2**bits / shards) for i in range(1, shards)]
+    """For each ``batch`` and ``shard`` the corpus's ``counts``, in raw text and in the target, of the batch's n-grams, packed."""
+    edges = np.array([ceil(i * 2**bits / shards) for i in range(1, shards)], np.int64)
 
     def sent(batch: pd.DataFrame) -> pd.DataFrame:
-        own = [passage_grams(text)[0] >> (63 - bits) for text in _texts(batch["text"])]
-        sizes = [len(some) for some in own]
-        grams, place = np.unique(np.concatenate(own), return_inverse=True)
-        raw = np.repeat(batch["copies"].to_numpy(np.int64), sizes)
-        target = raw * np.repeat(batch["wanted"].to_numpy(bool), sizes)
-        columns = [grams, *[np.bincount(place, x, len(grams)).astype(np.int64) for x in (raw, target)]]
-        cuts = [0, *np.searchsorted(grams, np.array(edges, np.int64)), len(grams)]
-        out = [(i, packed(*[c[a:b] for c in columns])) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-        return pd.DataFrame(out, columns=["shard", "grams"]).assign(batch=batch["batch"].iloc[0])
+        known = Words()
+        grams, *counts = batch_counts(batch, known, [known.numbers(text) for text in _texts(batch["text"])], bits)
+        cuts = [0, *np.searchsorted(grams, edges), len(grams)]
+        out = [
+            (i, packed(np.diff(grams[a:b], prepend=0), *[x[a:b] for x in counts])) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
+        ]
+        return pd.DataFrame(out, columns=["shard", "counts"]).assign(batch=batch["batch"].iloc[0])
 
     def answer(shard: pd.DataFrame) -> pd.DataFrame:
-        parts = [unpacked(blob, 3) for blob in shard["grams"]]
-        grams, place = np.unique(np.concatenate([part[0] for part in parts]), return_inverse=True)
-        sums = [np.zeros(len(grams), np.int64) for _ in range(2)]
+        parts = [unpacked(blob, 3) for blob in shard["counts"]]
+        grams, place = np.unique(np.concatenate([np.cumsum(part[0]) for part in parts]), return_inverse=True)
+        sums = [np.bincount(place, np.concatenate(x), len(grams)).astype(np.int64) for x in list(zip(*parts))[1:]]
         cuts = np.cumsum([0, *[len(part[0]) for part in parts]])
-        for part, a, b in zip(parts, cuts, cuts[1:]):
-            for total, own in zip(sums, part[1:]):
-                total[place[a:b]] += own
-        blobs = [packed(part[0], *[total[place[a:b]] for total in sums]) for part, a, b in zip(parts, cuts, cuts[1:])]
-        return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "grams": blobs})
+        blobs = [packed(*[total[place[a:b]] for total in sums]) for a, b in zip(cuts, cuts[1:])]
+        return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "counts": blobs})
 
-    found = rows.groupBy("batch").applyInPandas(sent, "batch bigint, shard int, grams binary")
-    return found.groupBy("shard").applyInPandas(answer, "batch bigint, shard int, grams binary")
+    found = rows.groupBy("batch").applyInPandas(sent, "batch bigint, shard int, counts binary")
+    return found.groupBy("shard").applyInPandas(answer, "batch bigint, shard int, counts binary")
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray, rate: float, shrink: float) -> np.ndarray:
@@ -174,32 +234,33 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, rate: float, shrink: float)
 
 def weights(marked: DataFrame) -> DataFrame:
     """Every document's log weights, one for each of ``SHRINKS``, by models that have not seen it."""
-    size, raw, target, distinct = surveyed(marked)
+    size, raw, target = surveyed(marked)
     rate = target / raw if raw else 0.0
-    bits = min(63, max(40, ceil(log2(distinct + 1)) + SPARE_BITS))
+    bits = min(63, max(LEAST_BITS, raw.bit_length() + SPARE_BITS))
     rows = batched(marked, max(1, ceil(size / BATCH_BYTES)))
     answers = answered(rows, bits, max(1, ceil(raw / SHARD_GRAMS)))
 
     def score(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        own = [passage_grams(text) for text in _texts(batch["text"])]
-        sizes = [len(grams) for grams, _ in own]
-        passages = np.array([int(at.max(initial=0)) + 1 for _, at in own], np.int64)
-        first = np.cumsum(passages) - passages
-        passage = np.concatenate([at for _, at in own]) + np.repeat(first, sizes)
-        grams, place = np.unique(np.concatenate([grams for grams, _ in own]) >> (63 - bits), return_inverse=True)
-        parts = [unpacked(blob, 3) for blob in answers.sort_values("shard")["grams"]]
-        known, raw, target = map(np.concatenate, zip(*parts)) if parts else [np.empty(0, np.int64)] * 3
-        if not np.array_equal(known, grams):
-            raise ValueError("a batch was answered for other n-grams than its own")
-        pairs, at, times = np.unique(np.repeat(np.arange(len(own)), sizes) * len(grams) + place, return_inverse=True, return_counts=True)
-        doc, gram = np.divmod(pairs, max(1, len(grams)))
+        known = Words()
+        ids = [known.numbers(text) for text in _texts(batch["text"])]
         wanted = batch["wanted"].to_numpy(bool)
-        raw, target = raw[gram] - times, target[gram] - times * wanted[doc]
+        asked = batch_counts(batch, known, ids, bits)[0]
+        parts = [unpacked(blob, 2) for blob in answers.sort_values("shard")["counts"]]
+        all_raw, all_target = map(np.concatenate, zip(*parts)) if parts else [np.empty(0, np.int64)] * 2
+        if len(all_raw) != len(asked):
+            raise ValueError("a batch was answered for other n-grams than its own")
+        found: list[list[np.ndarray]] = [[] for _ in SHRINKS]
+        for a, grams, doc, passage, passages in passage_grams(known, ids, bits):
+            some, place = np.unique(grams, return_inverse=True)
+            pairs, at, own = np.unique(doc * len(some) + place, return_inverse=True, return_counts=True)
+            doc, gram = np.divmod(pairs, max(1, len(some)))
+            gram = np.searchsorted(asked, some)[gram]
+            raw, target = all_raw[gram] - own, all_target[gram] - own * wanted[a + doc]
+            for lists, shrink in zip(found, SHRINKS):
+                sums = np.bincount(passage, log_ratios(raw, target, rate, shrink)[at], passages.sum())
+                lists.append(np.minimum.reduceat(sums, np.cumsum(passages) - passages) * UNIT)
         out = {"doc_id": batch["doc_id"], "wanted": wanted, "copies": batch["copies"]}
-        for i, shrink in enumerate(SHRINKS):
-            sums = np.bincount(passage, log_ratios(raw, target, rate, shrink)[at], passages.sum())
-            out[f"w{i}"] = np.minimum.reduceat(sums, first) * UNIT
-        return pd.DataFrame(out)
+        return pd.DataFrame(out | {f"w{i}": np.concatenate(lists) for i, lists in enumerate(found)})
 
     schema = "doc_id string, wanted boolean, copies int" + "".join(f", w{i} double" for i in range(len(SHRINKS)))
     found = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(score, schema)
