@@ -263,6 +263,43 @@ def test_repeats_across_factor_boundaries(spark):
     same(map(tuple, found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), plain.repeats(rows))
 
 
+def test_factors_are_copies_of_earlier_places(spark, small):
+    """Every factor's words equal its source's, which starts earlier; together they are the words removed."""
+    rows = [(r.doc_id, r.text) for r in small("documents").collect()] + [(2**63 - 1, "only " * 50), (-5, "x y " * 40), (None, "only " * 30)]
+    words = {doc_id: plain.spaced(text) for doc_id, text in rows}
+    late = lambda doc_id: (doc_id is None, doc_id or 0)
+    found = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {row.doc_id for row in found} == set(words) and sum(len(row.factors) for row in found) > 100
+    for row in found:
+        own, out, end = words[row.doc_id], set(), 0
+        for factor in row.factors:
+            size = factor.end - factor.start
+            assert size >= substring_dedup.WINDOW
+            assert (late(factor.source_id), factor.source_start) < (late(row.doc_id), factor.start)
+            assert words[factor.source_id][factor.source_start : factor.source_start + size] == own[factor.start : factor.end]
+            assert factor.start < end if factor.across else factor.start >= end
+            out.update(range(factor.start, factor.end))
+            end = end if factor.across else factor.end
+        assert len(out) == row.n_removed
+        assert row.kept_text.encode() == b" ".join(word for i, word in enumerate(own) if i not in out)
+
+
+def test_factors_are_longest_matches(spark):
+    """A factor goes on as far as its source does, and one from another source begins behind it."""
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(["new", *a[5:45], *b[10:40], *a[50:]])), (4, " ".join(a[30:] + b[:15]))]
+    found = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    factors = {row.doc_id: [tuple(factor) for factor in row.factors] for row in found.collect()}
+    assert factors == {1: [], 2: [], 3: [(1, 41, 1, 5, False), (41, 71, 2, 10, False)], 4: [(0, 30, 1, 30, False)]}
+
+
+def test_many_batches_and_blocks_tell_the_same(docs, monkeypatch):
+    wanted = substring_dedup.report(docs).drop("factors").collect()
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 5000)
+    monkeypatch.setattr(substring_dedup, "BLOCK_WINDOWS", 2000)
+    same(map(tuple, substring_dedup.report(docs).drop("factors").collect()), map(tuple, wanted))
+
+
 # --- 5: benchmark passages ------------------------------------------------------
 
 
