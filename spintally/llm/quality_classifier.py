@@ -56,12 +56,12 @@ SHRINKS = (1.0, 2.0, 4.0, 16.0)
 TARGET_DOCS = 20_000
 LIGHTEST = 0.01
 CHUNK = 256
-BATCH_BYTES = 3 << 23
+BATCH_BYTES = 7 << 22
 SHARD_GRAMS = 1 << 22
 WORDS_AT_ONCE = 1 << 17
-MERGE_AT = 1 << 20
 SPARE_BITS = 6
 LEAST_BITS = 36
+PACKING = 6
 UNIT = 2.0**-20
 SEED = "quality-1"
 BINS = 4096
@@ -75,10 +75,15 @@ class Words(dict):
         self.hashes, self.plain, self.sizes = array("Q"), array("Q"), array("q")
 
     def __missing__(self, word: bytes) -> int:
-        plain = word.translate(LETTERS_ONLY).split()
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        self.plain.extend(map(xxhash.xxh3_64_intdigest, plain))
-        self.sizes.append(len(plain))
+        own = xxhash.xxh3_64_intdigest(word)
+        self.hashes.append(own)
+        if word.isalnum() and word.islower():
+            self.plain.append(own)
+            self.sizes.append(1)
+        else:
+            plain = word.translate(LETTERS_ONLY).split()
+            self.plain.extend(map(xxhash.xxh3_64_intdigest, plain))
+            self.sizes.append(len(plain))
         self[word] = number = len(self)
         return number
 
@@ -140,16 +145,36 @@ def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [grams[first], *[np.add.reduceat(own, first) if len(own) else own for own in counts]]
 
 
+def sorted_grams(known: Words, ids: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of a batch in order, and where each distinct one begins."""
+    sizes = np.array(known.sizes, np.int64)
+    grams = np.empty(sum(len(own) + max(0, len(own) - 1) + int(sizes[own].sum()) for own in ids), np.int64)
+    end = 0
+    for _, found, *_ in passage_grams(known, ids, bits):
+        grams[end : end + len(found)] = found
+        end += len(found)
+    grams.sort()
+    return grams, np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]][: len(grams)])
+
+
 def batch_counts(batch: pd.DataFrame, known: Words, ids: list[np.ndarray], bits: int) -> list[np.ndarray]:
-    """A batch's distinct n-grams in order, with their counts in raw text and in the target."""
+    """A batch's distinct n-grams in order, with their counts in raw text and in the target.
+
+    Each document counts once; rows alike and the target's documents, which are few, are added to that.
+    """
+    grams, first = sorted_grams(known, ids, bits)
+    raw = np.diff(first, append=len(grams))
+    grams, target = grams[first], np.zeros(len(first), np.int64)
     copies, wanted = batch["copies"].to_numpy(np.int64), batch["wanted"].to_numpy(bool)
-    held: list[list[np.ndarray]] = []
-    for a, grams, doc, _, _ in passage_grams(known, ids, bits):
-        raw = copies[a + doc]
-        held.append(summed([[grams, raw, raw * wanted[a + doc]]]))
-        if sum(len(part[0]) for part in held[1:]) >= MERGE_AT:
-            held = [summed(held)]
-    return summed(held)
+    others = np.flatnonzero((copies > 1) | wanted)
+    copies, wanted = copies[others], wanted[others]
+    for a, found, doc, _, _ in passage_grams(known, [ids[i] for i in others], bits):
+        own = copies[a + doc]
+        found, more, own = summed([[found, own - 1, own * wanted[a + doc]]])
+        at = np.searchsorted(grams, found)
+        raw[at] += more
+        target[at] += own
+    return [grams, raw, target]
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -174,10 +199,10 @@ def surveyed(marked: DataFrame) -> tuple[int, int, int]:
     return tuple(found.agg(*[F.coalesce(F.sum(name), F.lit(0)) for name in ("size", "raw", "target")]).first())
 
 
-def packed(*columns: np.ndarray) -> bytes:
+def packed(*columns: np.ndarray, level: int = 1) -> bytes:
     """Whole numbers in columns, each byte of all of them together."""
     planes = [np.ascontiguousarray(column, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for column in columns]
-    return zstandard.compress(b"".join(planes), 1)
+    return zstandard.compress(b"".join(planes), level)
 
 
 def unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
@@ -211,7 +236,7 @@ def answered(rows: DataFrame, bits: int, shards: int) -> DataFrame:
         grams, *counts = batch_counts(batch, known, [known.numbers(text) for text in _texts(batch["text"])], bits)
         cuts = [0, *np.searchsorted(grams, edges), len(grams)]
         out = [
-            (i, packed(np.diff(grams[a:b], prepend=0), *[x[a:b] for x in counts])) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
+            (i, packed(np.diff(grams[a:b], prepend=0), *[x[a:b] for x in counts], level=PACKING)) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
         ]
         return pd.DataFrame(out, columns=["shard", "counts"]).assign(batch=batch["batch"].iloc[0])
 
@@ -220,7 +245,7 @@ def answered(rows: DataFrame, bits: int, shards: int) -> DataFrame:
         grams, place = np.unique(np.concatenate([np.cumsum(part[0]) for part in parts]), return_inverse=True)
         sums = [np.bincount(place, np.concatenate(x), len(grams)).astype(np.int64) for x in list(zip(*parts))[1:]]
         cuts = np.cumsum([0, *[len(part[0]) for part in parts]])
-        blobs = [packed(*[total[place[a:b]] for total in sums]) for a, b in zip(cuts, cuts[1:])]
+        blobs = [packed(*[total[place[a:b]] for total in sums], level=PACKING) for a, b in zip(cuts, cuts[1:])]
         return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "counts": blobs})
 
     found = rows.groupBy("batch").applyInPandas(sent, "batch bigint, shard int, counts binary")
@@ -244,18 +269,23 @@ def weights(marked: DataFrame) -> DataFrame:
         known = Words()
         ids = [known.numbers(text) for text in _texts(batch["text"])]
         wanted = batch["wanted"].to_numpy(bool)
-        asked = batch_counts(batch, known, ids, bits)[0]
+        grams, first = sorted_grams(known, ids, bits)
+        asked = grams[first]
+        del grams, first
         parts = [unpacked(blob, 2) for blob in answers.sort_values("shard")["counts"]]
         all_raw, all_target = map(np.concatenate, zip(*parts)) if parts else [np.empty(0, np.int64)] * 2
         if len(all_raw) != len(asked):
             raise ValueError("a batch was answered for other n-grams than its own")
         found: list[list[np.ndarray]] = [[] for _ in SHRINKS]
         for a, grams, doc, passage, passages in passage_grams(known, ids, bits):
-            some, place = np.unique(grams, return_inverse=True)
-            pairs, at, own = np.unique(doc * len(some) + place, return_inverse=True, return_counts=True)
-            doc, gram = np.divmod(pairs, max(1, len(some)))
-            gram = np.searchsorted(asked, some)[gram]
-            raw, target = all_raw[gram] - own, all_target[gram] - own * wanted[a + doc]
+            # Each kind's n-grams come by document, and two kinds share one only where hashes collide, so a stable order is by both.
+            order = np.argsort(grams, kind="stable")
+            grams, doc, passage = grams[order], doc[order], passage[order]
+            new = np.r_[True, (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])][: len(grams)]
+            pair, at = np.flatnonzero(new), np.cumsum(new) - 1
+            own = np.diff(pair, append=len(grams))
+            gram = np.searchsorted(asked, grams[pair])
+            raw, target = all_raw[gram] - own, all_target[gram] - own * wanted[a + doc[pair]]
             for lists, shrink in zip(found, SHRINKS):
                 sums = np.bincount(passage, log_ratios(raw, target, rate, shrink)[at], passages.sum())
                 lists.append(np.minimum.reduceat(sums, np.cumsum(passages) - passages) * UNIT)
