@@ -61,7 +61,7 @@ SHARD_GRAMS = 1 << 22
 WORDS_AT_ONCE = 1 << 17
 SPARE_BITS = 6
 LEAST_BITS = 36
-PACKING = 6
+PACKING = 9
 UNIT = 2.0**-20
 SEED = "quality-1"
 BINS = 4096
@@ -215,7 +215,7 @@ def _texts(column: pd.Series) -> Iterator[str | None]:
 
 
 def _compressed(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if text is None else zstandard.compress(text.encode(), 5) for text in texts], dtype=object)
+    return pd.Series([None if text is None else zstandard.compress(text.encode(), PACKING) for text in texts], dtype=object)
 
 
 def batched(marked: DataFrame, batches: int) -> DataFrame:
