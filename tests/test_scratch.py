@@ -6,7 +6,8 @@ from pathlib import Path
 
 import pytest
 
-from spintally.sources.scratch import discard, handed_on, kept, noted, scratch
+from spintally.sources import scratch as module
+from spintally.sources.scratch import discard, handed_on, kept, noted, scratch, shared_folder
 
 
 def names(spark) -> set[str]:
@@ -44,3 +45,23 @@ def test_noted_tables_are_deleted_when_asked(spark):
     assert table.count() == 5 and len(paths) == 1
     discard(spark, paths)
     assert paths == [] and "noted_table" not in names(spark)
+
+
+@pytest.fixture
+def on_cluster(spark, monkeypatch):
+    """The session as one of a cluster's, by its master's name."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    monkeypatch.setattr(module, "_tried", set(), raising=False)
+    return spark
+
+
+def test_a_mounted_folder_serves_a_cluster(on_cluster):
+    assert kept(on_cluster.range(5), "mounted_table").count() == 5
+    assert "tried" not in names(on_cluster)
+
+
+def test_a_folder_that_machines_do_not_share_is_refused(on_cluster, monkeypatch):
+    # What tasks write does not reach the driver's folder.
+    monkeypatch.setattr(type(on_cluster.range(1).write), "parquet", lambda self, path: Path(path.removeprefix("file:")).mkdir())
+    with pytest.raises(RuntimeError, match="for itself"):
+        shared_folder(on_cluster)
