@@ -42,6 +42,8 @@ PER_SEED = WINDOW - SEED + 1
 OTHER_STEP = np.uint64(0xD1B54A32D192ED03)
 BATCH_BYTES = 1 << 24
 BLOCK_WINDOWS = 1 << 22
+# A shard has a fourth of a block's rows, as a batch sends most of its seeds and few of its windows.
+SHARDS_A_BLOCK = 4
 SPARE_BITS = 6
 LEAST_BITS = 36
 BLANKS = " \t\n\v\f\r"
@@ -67,6 +69,11 @@ def in_runs(runs: np.ndarray) -> np.ndarray:
     return skips + np.arange(counts.sum())
 
 
+def seed_shards(words: int) -> int:
+    """Into how many shards seeds are cut; about two in ``PER_SEED + 1`` words begin a run of another seed."""
+    return max(1, ceil(2 * words * SHARDS_A_BLOCK / (PER_SEED + 1) / BLOCK_WINDOWS))
+
+
 def surveyed(docs: DataFrame) -> tuple[int, int]:
     """Bytes of all texts, and a number that their words do not exceed."""
     blanks = F.length("text") - F.length(F.translate("text", BLANKS, ""))
@@ -113,9 +120,16 @@ def repeated_seeds(rows: DataFrame, bits: int, shards: int) -> DataFrame:
 
     def answer(shard: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(blob, 2) for blob in shard["seeds"]]
-        seeds, place = np.unique(np.concatenate([np.cumsum(part[0]) for part in parts]), return_inverse=True)
-        often = (np.bincount(place, np.concatenate([part[1] for part in parts]), len(seeds)) > 1)[place]
         cuts = np.cumsum([0, *[len(part[0]) for part in parts]])
+        seeds, times = np.concatenate([np.cumsum(part[0]) for part in parts]), np.concatenate([part[1] for part in parts])
+        del parts
+        order = np.argsort(seeds)
+        seeds = seeds[order]
+        first = np.flatnonzero(_new(seeds))
+        del seeds
+        often = np.empty(len(order), bool)
+        often[order] = np.repeat(np.add.reduceat(times[order], first) > 1, np.diff(first, append=len(order)))
+        del order, times
         blobs = [np.packbits(often[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
         return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "n": np.diff(cuts), "bits": blobs})
 
@@ -191,9 +205,11 @@ def first_places(rows: DataFrame, often: DataFrame, bits: int, blocks: int) -> D
         parts = [unpacked(blob, 6) for blob in block["windows"]]
         sizes = [len(part[0]) for part in parts]
         one = np.concatenate([np.cumsum(part[0]) for part in parts])
-        two, *places = (np.concatenate(column) for column in list(zip(*parts))[1:])
+        two, *places = (np.concatenate([part[i] for part in parts]) for i in range(1, 6))
+        del parts
         order = np.lexsort((*places[::-1], two, one))
         new = _new(one[order], two[order])
+        del one, two
         source = np.empty(len(order), np.int64)
         source[order] = order[new][np.cumsum(new) - 1]
         cuts = np.cumsum([0, *sizes])
@@ -265,7 +281,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     size, words = surveyed(docs)
     bits = min(63, max(LEAST_BITS, words.bit_length() + SPARE_BITS))
     rows = batched(docs, max(1, ceil(size / BATCH_BYTES)))
-    often = kept(repeated_seeds(rows, bits, max(1, ceil(2 * words / (PER_SEED + 1) / BLOCK_WINDOWS))), "seeds")
+    often = kept(repeated_seeds(rows, bits, seed_shards(words)), "seeds")
     sources = first_places(rows, often, bits, max(1, ceil(words / BLOCK_WINDOWS)))
     answers = often.select("batch", "shard", "n", "bits", F.lit(None).cast("int").alias("block"), F.lit(None).cast("binary").alias("sources"))
     answers = answers.unionByName(sources, allowMissingColumns=True)

@@ -300,6 +300,13 @@ def test_many_batches_and_blocks_tell_the_same(docs, monkeypatch):
     same(map(tuple, substring_dedup.report(docs).drop("factors").collect()), map(tuple, wanted))
 
 
+def test_seeds_are_cut_into_shards_that_two_tasks_can_hold():
+    words = 80_000_000
+    seeds = 2 * words / (substring_dedup.PER_SEED + 1)
+    assert seeds / substring_dedup.seed_shards(words) <= 1 << 20
+    assert substring_dedup.seed_shards(0) == 1
+
+
 # --- 5: benchmark passages ------------------------------------------------------
 
 
