@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from spintally.llm.components import components
 from spintally.llm.text import STEP, hashed, mixed, shingles, signed
-from spintally.sources.scratch import handed_on, kept, scratch
+from spintally.sources.scratch import drop_ended_shuffles, handed_on, kept, scratch
 
 # Entries of the list of common shingles, which goes to every task: 16 bytes each.
 MOST_COMMON = 1 << 20
@@ -263,6 +263,7 @@ def _shared_lists(entered: DataFrame) -> DataFrame:
     lists = rows.groupBy("shingle").agg(F.count("*").alias("entries"), F.min("id").alias("low"), F.max("id").alias("high"))
     # Written, so that the join reads both sides from plain exchanges, whose long lists Spark can split.
     ends = kept(lists.filter("low != high").select("shingle", "entries"), "list_ends")
+    drop_ended_shuffles(rows.sparkSession)
     return rows.join(ends, "shingle")
 
 
@@ -344,6 +345,7 @@ def _lists(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> tup
     counted = classes.groupBy("n").agg(F.count("*").alias("sets")).collect()  # a row for each size
     boundary = best_boundary({row.n: row.sets for row in counted}, percent)
     commons = common_shingles(classes, percent)
+    drop_ended_shuffles(spark)
     with scratch(spark):
         entered = kept(entries(classes, percent, boundary, commons), "entries")
         light = handed_on(light_links(entered), "light_links")

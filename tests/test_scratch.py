@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pytest
@@ -65,3 +66,21 @@ def test_a_folder_that_machines_do_not_share_is_refused(on_cluster, monkeypatch)
     monkeypatch.setattr(type(on_cluster.range(1).write), "parquet", lambda self, path: Path(path.removeprefix("file:")).mkdir())
     with pytest.raises(RuntimeError, match="for itself"):
         shared_folder(on_cluster)
+
+
+def shuffles(spark) -> set[str]:
+    """Files of shuffles that this machine still has."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in found if name.startswith("shuffle_")}
+
+
+def test_a_block_leaves_no_shuffle_files(spark):
+    before = shuffles(spark)
+    with scratch(spark):
+        assert kept(spark.range(1000).repartition(7, "id"), "shuffled_table").count() == 1000
+        assert shuffles(spark) - before
+    until = time.monotonic() + 20
+    while shuffles(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles(spark) - before
