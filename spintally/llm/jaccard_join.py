@@ -18,7 +18,8 @@ every task has ``MOST_COMMON`` entries at most; the order is a matter of speed a
 Lists of up to ``SHORT_LIST`` sets give all their pairs. Of the longer ones, each set is compared with a leader of
 two of its lists, ``TURNS`` times, as long as a list has sets in more than one component, so
 copies by the thousand take a linear number of comparisons. The pairs across components that are then left are all
-compared, so no link between components is missed.
+compared, so no link between components is missed. Two sets may be in many lists together: a pair is passed over in a list
+if one of the last ``SEEN`` of each set's lists before it is the same, as it has been met there.
 
 Pairs are sifted before their texts are read: sizes tell a part of them, and the parity of hashed shingles
 (``BITS`` bits a set) another. Each bit in which two sets differ stands for a shingle that only one
@@ -46,7 +47,7 @@ from operator import add
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spintally.llm.components import components
@@ -59,6 +60,7 @@ MOST_COMMON = 1 << 20
 KINDS = 14
 SHORT_LIST = 16
 TURNS = 2
+SEEN = 8
 BITS = 512
 # Sets of this size are carried whole.
 SMALL = 64
@@ -312,6 +314,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, p
         pairs = kept(pairs, "pairs")
         named = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         texts = kept(_texts(docs, classes.join(named, "key"), "key").dropDuplicates(["key"]), "texts")
+        drop_ended_shuffles(docs.sparkSession)
         left = texts.withColumnsRenamed({"key": "a", "text": "left"})
         right = texts.withColumnsRenamed({"key": "b", "text": "right"})
         joined = pairs.join(left, "a").join(right, "b")
@@ -412,13 +415,24 @@ def _with_leaders(lists: DataFrame, turn: int) -> DataFrame:
     return each.distinct()
 
 
-def _all_across(open_lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a list's sets in different components that may link."""
+def _met_across(open_lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a list's sets in different components that may link, few of them more than once.
+
+    The first list of a pair has no list before it that both are in, so each pair is met.
+    """
     a, b = _sides(classes)
-    left = open_lists.withColumnsRenamed({"id": "_a", "part": "part_a"}).join(a, "_a")
-    right = open_lists.withColumnsRenamed({"id": "_b", "part": "part_b"}).join(b, "_b")
-    joined = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("part_a") < F.col("part_b")) & _may_link(percent))
-    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    earlier = Window.partitionBy("id", "part").orderBy("shingle").rowsBetween(-SEEN, -1)
+    rows = open_lists.distinct().withColumn("before", F.collect_list("shingle").over(earlier))
+    left = rows.withColumnsRenamed({"id": "_a", "part": "part_a", "before": "before_a"}).join(a, "_a")
+    right = rows.withColumnsRenamed({"id": "_b", "part": "part_b", "before": "before_b"}).join(b, "_b")
+    first = (F.col("part_a") < F.col("part_b")) & ~F.arrays_overlap("before_a", "before_b")
+    joined = left.join(right, (left["shingle"] == right["shingle"]) & first & _may_link(percent))
+    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _all_across(open_lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those pairs, each once."""
+    return _met_across(open_lists, classes, percent).distinct()
 
 
 def report(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:

@@ -549,6 +549,43 @@ def test_links_of_small_and_large_sets(spark, width, percent, monkeypatch):
     same(map(tuple, jaccard_join.report(docs, width, percent).collect()), plain.components(rows, width, percent))
 
 
+def _lists_and_classes(spark, lists):
+    """Entries of the lists, and classes of one size whose bits allow every link; each set is its own component."""
+    ids = sorted({i for members in lists.values() for i in members})
+    entries = [(shingle, i, i) for shingle, members in lists.items() for i in members]
+    classes = [(i, i.to_bytes(4, "big"), 100, [0] * 8) for i in ids]
+    return (
+        spark.createDataFrame(entries, "shingle bigint, id bigint, part bigint"),
+        spark.createDataFrame(classes, "id bigint, key binary, n bigint, bits array<bigint>"),
+    )
+
+
+def test_sets_of_many_lists_are_paired_once(spark):
+    lists, classes = _lists_and_classes(spark, {shingle: range(20) for shingle in range(60)})
+    met = jaccard_join._met_across(lists.union(lists.limit(30)), classes, 80)
+    assert met.count() == 20 * 19 // 2
+
+
+def test_all_pairs_of_lists_that_overlap_are_met(spark):
+    """Sets of few and of many lists, with lists of both between those of one alone."""
+    rng = np.random.default_rng(3)
+    share = rng.choice([0.02, 0.1, 0.5, 0.9], 40)
+    lists = {shingle: np.flatnonzero(rng.random(40) < share).tolist() for shingle in range(-50, 50)}
+    met = {(bytes(r.a), bytes(r.b)) for r in jaccard_join._all_across(*_lists_and_classes(spark, lists), 80).collect()}
+    pairs = {(a, b) for members in lists.values() for a in members for b in members if a < b}
+    assert met == {(a.to_bytes(4, "big"), b.to_bytes(4, "big")) for a, b in pairs}
+
+
+def test_shuffles_behind_texts_are_dropped_before_they_are_compared(docs, monkeypatch):
+    steps = []
+    for name in ("kept", "handed_on", "drop_ended_shuffles"):
+        plain_step = getattr(jaccard_join, name)
+        monkeypatch.setattr(jaccard_join, name, lambda *a, _n=name, _f=plain_step: (steps.append(a[1] if a[1:] else _n), _f(*a))[1])
+    jaccard_join.report(docs)
+    texts_at = [i for i, step in enumerate(steps) if step == "texts"]
+    assert texts_at and all(steps[i + 1 : i + 3] == ["drop_ended_shuffles", "links"] for i in texts_at)
+
+
 def test_one_stays_of_each(docs):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
